@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules, secret_scan
+from . import best_fit, exact_dedup, hilbert_shards, prefix_bpe, quality_rules, secret_scan, token_scan
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+END_OF_DOCUMENT = 50256
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.hilbert_shards(_documents(spark, sf_dir))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(_documents(spark, sf_dir)).drop("parts")
 
@@ -24,5 +32,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_documents(spark, sf_dir)).select(*cols)
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op5_exact_dedup, op6_quality_rules)}
+def op8_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, END_OF_DOCUMENT)
+
+
+def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.tokenize(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+
+
+def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op5_exact_dedup, op6_quality_rules, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
 ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
