@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, exact_dedup, hilbert_shards, prefix_bpe, quality_rules, secret_scan, token_scan
+from . import best_fit, exact_dedup, hilbert_shards, jaccard_join, prefix_bpe, quality_rules, secret_scan, token_scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_OF_DOCUMENT = 50256
@@ -32,6 +32,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_documents(spark, sf_dir)).select(*cols)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_documents(spark, sf_dir))
+
+
 def op8_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.token_counts(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, END_OF_DOCUMENT)
 
@@ -44,5 +48,5 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op5_exact_dedup, op6_quality_rules, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
 ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
