@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, exact_dedup, hilbert_shards, jaccard_join, prefix_bpe, quality_rules, secret_scan, suffix_dedup, token_scan
+from . import best_fit, exact_dedup, hilbert_shards, jaccard_join, mil_quality, prefix_bpe, quality_rules, secret_scan, suffix_dedup, token_scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_OF_DOCUMENT = 50256
@@ -23,6 +23,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(_documents(spark, sf_dir)).drop("parts")
 
 
+def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(_documents(spark, sf_dir)).drop("kept")
 
@@ -52,5 +56,5 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op3_mil_quality, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
 ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
