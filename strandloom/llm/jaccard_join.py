@@ -136,7 +136,7 @@ def _shared(sig: DataFrame, reps: DataFrame, hot: np.ndarray, buckets: int) -> D
     """(h, key): shared prefix hashes of the sets that are not alone, without the most frequent."""
     spark = sig.sparkSession
     known = spark.sparkContext.broadcast(hot)
-    shift = np.uint64(48 - (buckets.bit_length() - 1))
+    shift = np.uint64(64 - (buckets.bit_length() - 1))
     low = (1 << CHUNK_BITS) - 1
 
     def send(wide: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
@@ -150,9 +150,10 @@ def _shared(sig: DataFrame, reps: DataFrame, hot: np.ndarray, buckets: int) -> D
         usual = ~np.isin(h, known.value)
         out = [(-1 - chunk, chunk, _raw48(h[~usual]), at[~usual].tobytes())] if not usual.all() else []
         h, at = h[usual], at[usual]
-        order = np.argsort(h, kind="stable")
-        h, at = h[order], at[order]
-        to = (h >> shift).astype(np.int64)
+        # Prefixes hold small hashes, so these are mixed anew for an even deal.
+        to = ((h * np.uint64(0xD6E8FEB86659FD93) ^ h >> np.uint64(7)) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        h, at, to = h[order], at[order], to[order]
         edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1)) if len(to) else []
         out += [(int(to[i]), chunk, _raw48(h[i:j]), at[i:j].tobytes()) for i, j in zip(edges[:-1], edges[1:])] if len(to) else []
         return pd.DataFrame(out, columns=cols)
