@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, with_id
 
 GROUP = 20_000
 END_ID = 0
@@ -57,11 +57,11 @@ def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int) -> Dat
                 for k, stop in enumerate(range(first, len(ids) + 1, capacity)):
                     start = max(0, stop - capacity) if k else 0
                     out.append((doc, k, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": b["doc_id"].dtype})
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    return rows.mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    return with_id(rows.mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long"), kind)
 
 
 def best_fit(demand: np.ndarray, capacity: np.ndarray, weights: np.ndarray, score: str = "norm") -> np.ndarray:
@@ -114,13 +114,13 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, m
         return b[["doc_id", "piece", "start", "length", "ids_crc32", "id", "bin", "offset"]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    row = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, id long, bin long, offset long"
+    row = "doc_id string, piece int, start long, length long, ids_crc32 long, id long, bin long, offset long"
     # Dealt by the row's number, so repeated ids spread too.
-    dealt = part.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    dealt = part.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
     packed = dealt.groupBy("group").applyInPandas(first, row)
     if groups > 1:
         packed = _again(materialize(packed, "packed"), caps, factor, score, group)
-    ends = packed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("bin") * 2).alias("sequence_id"), "offset")
+    ends = with_id(packed, kind).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("bin") * 2).alias("sequence_id"), "offset")
     whole = full.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("id") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return ends.unionByName(whole)
 
@@ -141,4 +141,4 @@ def _again(packed: DataFrame, caps: np.ndarray, factor: np.ndarray, score: str,
         return b[["bin", "into", "shift"]]
 
     moved = open_bins.withColumn("group", F.pmod(F.xxhash64("bin"), F.lit(max(1, -(-n // group))))).groupBy("group").applyInPandas(second, "bin long, into long, shift long")
-    return packed.join(moved, "bin", "left").withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))).withColumn("bin", F.coalesce("into", "bin")).drop("into", "shift")
+    return packed.join(moved.hint("merge"), "bin", "left").withColumn("offset", F.col("offset") + F.coalesce("shift", F.lit(0))).withColumn("bin", F.coalesce("into", "bin")).drop("into", "shift")

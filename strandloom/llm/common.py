@@ -28,6 +28,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_id(df: DataFrame, kind: str) -> DataFrame:
+    """Give back the type of doc_id, which passes pandas as text: NULLs would make floats of integers there."""
+    return df.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files that a materialized frame reads, once nothing reads them any more."""
     spark = df.sparkSession

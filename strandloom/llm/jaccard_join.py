@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, materialize, with_id
 
 WORDS = 5
 CHUNK_BITS = 13  # documents in a chunk: 2**13
@@ -110,8 +110,8 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"key": b["key"], "doc_id": b["doc_id"], "tag": b["tag"], "n": [len(s) for s in sets], "digest": digest, "prefix": [_prefix(s) for s in sets]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = _rows(docs).withColumn("key", F.monotonically_increasing_id())
-    return materialize(keyed.mapInPandas(run, f"key long, doc_id {kind}, tag long, n long, digest binary, prefix binary"), "signatures")
+    keyed = _rows(docs).withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("key", F.monotonically_increasing_id())
+    return materialize(with_id(keyed.mapInPandas(run, "key long, doc_id string, tag long, n long, digest binary, prefix binary"), kind), "signatures")
 
 
 def _with_chunk(df: DataFrame) -> DataFrame:

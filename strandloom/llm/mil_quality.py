@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_id
+
 PASSAGE = 100
 SAMPLE = 4000
 BINS = 64
@@ -165,8 +167,8 @@ def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": y, "predicted": (y >= 0.5).astype(int), "n_passages": [len(x) for x in bags], "top_weight": top})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    return rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, score double, predicted int, n_passages long, top_weight double")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(_held_out(), F.lit(False)).alias("held_out"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    return with_id(rows.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int, n_passages long, top_weight double"), kind)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:

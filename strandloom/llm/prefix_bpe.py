@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_id
+
 CACHE = 200_000  # matches that a worker remembers
 
 
@@ -205,5 +207,5 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": n, "ids_sha256": coded, "decoded_sha256": back, "n_bytes": size})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    return rows.mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    return with_id(rows.mapInPandas(run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"), kind)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .best_fit import _encoder
-from .common import materialize, shared_dir
+from .common import materialize, shared_dir, with_id
 
 BLOCK = 1 << 20  # ids in a block
 
@@ -54,8 +54,8 @@ def write_files(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, dty
                 n += len(b)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    return materialize(rows.mapInPandas(run, f"path string, ordinal long, doc_id {kind}"), "token-files")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    return materialize(with_id(rows.mapInPandas(run, "path string, ordinal long, doc_id string"), kind), "token-files")
 
 
 def count_tokens(files: DataFrame, end_id: int, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
@@ -103,4 +103,5 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, dt
     """doc_id, n_tokens, path, ordinal, start of every document, counted in its flat file."""
     listed = write_files(docs, vocabulary, pattern, end_id, dtype)
     counted = count_tokens(listed, end_id, dtype, block)
-    return counted.join(listed, ["path", "ordinal"]).select("doc_id", "n_tokens", "path", "ordinal", "start")
+    # Both sides grow with the data and have one row a document, so neither is broadcast.
+    return counted.join(listed.hint("merge"), ["path", "ordinal"]).select("doc_id", "n_tokens", "path", "ordinal", "start")

@@ -1,0 +1,248 @@
+"""Operators that SQL cannot express, against plain versions over small tables; parts on random input."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strandloom.llm import best_fit, hilbert_shards, jaccard_join, mil_quality, prefix_bpe, secret_scan, suffix_dedup, token_scan
+
+SF = "/root/testdata/sf0.001"
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    return prefix_bpe.PrefixBpe(open(RANKS, "rb").read())
+
+
+@pytest.fixture(scope="module")
+def enc(bpe):
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("most", [4000, 2])
+def test_suffix_dedup(docs, texts, most):
+    length, seen = 200, Counter()
+    for t in texts.values():
+        b = t.encode()
+        seen.update(hash(b[i : i + length]) for i in range(len(b) - length + 1))
+    for r in suffix_dedup.suffix_dedup(docs, most=most).drop("kept").collect():
+        b = texts[r.doc_id].encode()
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[hash(b[i : i + length])] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab\0\xff", min_size=24, max_size=60).map(lambda s: s.encode("latin1")), min_size=1, max_size=8))
+def test_two_stage_sort_finds_repeats(contents):
+    length = 24
+    own = np.array([len(c) - length + 1 for c in contents])
+    ids = np.cumsum(np.array([1000] * len(contents))).astype(np.uint64)
+    n = Counter(c[i : i + length] for c, k in zip(contents, own) for i in range(k))
+    got = suffix_dedup.repeated_windows(contents, own, ids, length)
+    assert [g.tolist() for g in got] == [[n[c[i : i + length]] > 1 for i in range(k)] for c, k in zip(contents, own)]
+
+
+def _sets(texts):
+    out = {}
+    for i, t in texts.items():
+        w = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+        out[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return out
+
+
+@pytest.mark.parametrize("block", [4_000_000, 2000])
+def test_jaccard_join(docs, texts, block):
+    sets, lists = _sets(texts), defaultdict(list)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        shared = Counter(j for s in sets[i] for j in lists[s])
+        for s in sets[i]:
+            lists[s].append(i)
+        for j, n in shared.items():
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    for r in jaccard_join.jaccard_join(docs, block=block).collect():
+        assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), max_size=20), min_size=1, max_size=15), st.integers(1, 12))
+def test_divide_skip(lists, least):
+    n = Counter(i for x in lists for i in x)
+    ids, got = jaccard_join.divide_skip([np.array(sorted(x), np.int64) for x in lists if x], least)
+    assert dict(zip(ids.tolist(), got.tolist())) == {i: k for i, k in n.items() if k >= least}
+
+
+def test_forest_connects_what_links_connect():
+    r = random.Random(4)
+    base = [set(r.sample(range(400), 60)) for _ in range(5)]
+    sets = [np.array(sorted((b - set(r.sample(sorted(b), r.randint(0, 14)))) | set(r.sample(range(400), r.randint(0, 8)))), np.uint64) for b in base for _ in range(12)]
+
+    def labels(links):
+        p = list(range(len(sets)))
+        for _ in sets:
+            for a, b in links:
+                p[a] = p[b] = min(p[a], p[b])
+        return p
+
+    every = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * (n := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - n)]
+    assert labels(jaccard_join.forest(sets)) == labels(every)
+
+
+def test_tokenize(docs, texts, enc):
+    for r in prefix_bpe.tokenize(docs, RANKS, PATTERN).collect():
+        ids = enc.encode_ordinary(texts[r.doc_id])
+        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(st.sampled_from("aeinrst hT09.,-\n\t éß漢🙂'"), max_size=80), cut=st.integers(0, 80), new=st.text(st.sampled_from("abc e1 é"), max_size=6))
+def test_prefix_table(bpe, enc, text, cut, new):
+    raw = text.encode()
+    assert bpe.encode_text(text, regex.compile(PATTERN)) == b"".join(i.to_bytes(4, "little") for i in enc.encode_ordinary(text))
+    last = bpe.prefixes(raw)
+    assert bpe.ids(last) == bpe.merge(raw)
+    assert bpe.prefixes(raw + b"more", last) == bpe.prefixes(raw + b"more")
+    a, b = sorted((min(cut, len(raw)), min(cut + 3, len(raw))))
+    whole, edited = bpe.edited(raw, last, a, b, new.encode())
+    assert whole == raw[:a] + new.encode() + raw[b:] and edited == bpe.prefixes(whole)
+
+
+def test_packing(docs, texts, enc):
+    rows = best_fit.pack(docs, RANKS, PATTERN, group=100).collect()
+    size, total = defaultdict(int), 0
+    for r in rows:
+        size[r.sequence_id] += r.length
+        total += r.length
+    assert max(size.values()) <= 2048 and total == sum(len(enc.encode_ordinary(t)) + 1 for t in texts.values())
+    assert len(size) <= -(-total // 2048) * 1.01 + 1
+    import zlib
+
+    for r in rows[:50]:
+        ids = np.array(enc.encode_ordinary(texts[r.doc_id]) + [0], "<u4")
+        assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
+@pytest.mark.parametrize("score", ["norm", "dot"])
+def test_best_fit_keeps_every_constraint(score):
+    rng = np.random.default_rng(3)
+    length = np.sort(rng.integers(1, 900, 500))[::-1].astype(float)
+    demand = np.column_stack([length, np.ones(500), length**2])
+    caps = np.array([1000.0, 6.0, 700_000.0])
+    bins = best_fit.best_fit(demand, caps, np.array([1.0, 0.2, 0.2]), score)
+    for b in set(bins.tolist()):
+        assert (demand[bins == b].sum(axis=0) <= caps + 1e-9).all() or (bins == b).sum() == 1
+
+
+def test_token_scan(spark, docs, texts, enc):
+    got = {r.doc_id: r.n_tokens for r in token_scan.token_counts(docs, RANKS, PATTERN, 50256, block=97).collect()}
+    assert got == {i: len(enc.encode_ordinary(t)) for i, t in texts.items()}
+
+
+def test_flat_file_without_final_separator(spark, tmp_path):
+    ids = np.array([7, 7, 9, 9, 5, 6, 9, 1, 2, 3], "<u2")
+    (tmp_path / "a.ids").write_bytes(ids.tobytes())
+    (tmp_path / "b.ids").write_bytes(b"")
+    files = spark.createDataFrame([(str(tmp_path / n),) for n in ("a.ids", "b.ids")], "path string")
+    for block in (1, 2, 3, 100):
+        rows = sorted(tuple(r)[1:] for r in token_scan.count_tokens(files, 9, block=block).collect())
+        assert rows == [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 2, True), (3, 7, 3, False)]
+
+
+def test_curve_visits_every_cell_by_steps_of_one():
+    bits, dims = 3, 3
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    order = hilbert_shards.curve_index(cells, bits)
+    assert sorted(order.tolist()) == list(range(len(cells)))
+    path = cells[np.argsort(order)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_base_spans(docs, texts):
+    assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    for r in secret_scan.secret_scan(docs).collect():
+        t = texts[r.doc_id]
+        found = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(t) if len(m[1]) >= 6]
+        found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert set(listed.split(",")) <= set(r.spans.split(",")) | {""}
+
+
+def test_weak_parts_need_their_complement(spark):
+    lone = "user_id: alice99 went home"
+    both = "user_id: alice99\npassword: hunter2222\nhttps://db.example.org/x"
+    apart = "user_id: alice99\n\npassword: hunter2222"
+    far = "user_id: alice99 " + "x" * 400 + " password: hunter2222"
+    d = spark.createDataFrame(list(enumerate([lone, both, apart, far])), "doc_id long, text string")
+    assert {r.doc_id: r.n_weak for r in secret_scan.secret_scan(d).collect()} == {0: 0, 1: 2, 2: 0, 3: 0}
+
+
+def test_classifier_on_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    d, l = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = mil_quality.classify(d, l).where("held_out").join(l, "doc_id").collect()
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.93
+
+
+def test_attention_gradients():
+    rng = np.random.default_rng(0)
+    m = mil_quality.AttentionModel(5)
+    x, start, y = rng.normal(size=(7, 5)), np.array([0, 3]), np.array([1.0, 0.0])
+    loss = lambda: -np.mean(y * np.log(m.forward(x, start)["y"]) + (1 - y) * np.log(1 - m.forward(x, start)["y"]))
+    g = m.gradients(m.forward(x, start), start, y)
+    for k, p in m.p.items():
+        at = (0,) * p.ndim
+        old = p[at]
+        p[at] = old + 1e-6
+        up = loss()
+        p[at] = old - 1e-6
+        down = loss()
+        p[at] = old
+        assert abs((up - down) / 2e-6 - g[k][at]) < 1e-5
+
+
+def test_pipeline(spark, texts):
+    import corpus_pipeline
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = d.count()
+        d = stage(spark, d, SF)
+        assert d.columns == ["doc_id", "text", "lang", "source", "n_chars"] and 0 < d.count() <= before
+    packed = corpus_pipeline.run(spark, SF)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in d.collect()}
