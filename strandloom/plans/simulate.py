@@ -66,7 +66,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_isoforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sample, read_id, gene, isoform_id; one event in thirteen has no isoform."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id").where("event_id % 13 <> 0")
-    return e.select((F.col("event_id") % 4).alias("sample"), F.col("event_id").alias("read_id"), (F.col("user_id") % 6).alias("gene"), (F.col("user_id") % 6 + 6 * (F.col("event_id") % 2)).alias("isoform_id"))
+    return e.select((F.col("event_id") % 4).alias("sample"), F.col("event_id").alias("read_id"), (F.col("user_id") % 6).alias("gene"), (F.col("user_id") % 6 + 6 * (F.floor(F.col("event_id") / 4) % 2)).alias("isoform_id"))
 
 
 SQL = """
@@ -82,7 +82,7 @@ rd_x AS (SELECT name, i, low + i * 200 + CASE WHEN i = f THEN ln ELSE 0 END AS s
          FROM (SELECT *, unnest(range(f, n)) AS i FROM rd)),
 obs AS (SELECT event_id % 4 AS sample, event_id AS read_id, 'chr' || (user_id % 3) AS chrom, user_id % 6 * 100 + 10 AS pos, '+' AS strand, 'A+a' AS mod_code,
                value / 500 AS probability, CASE WHEN event_id % 7 = 0 THEN 'implicit' WHEN event_id % 11 = 0 THEN 'unknown' ELSE 'explicit' END AS state, event_type, value FROM events),
-iso AS (SELECT event_id % 4 AS sample, event_id AS read_id, user_id % 6 AS gene, user_id % 6 + 6 * (event_id % 2) AS isoform_id FROM events WHERE event_id % 13 <> 0),
+iso AS (SELECT event_id % 4 AS sample, event_id AS read_id, user_id % 6 AS gene, user_id % 6 + 6 * (event_id // 4 % 2) AS isoform_id FROM events WHERE event_id % 13 <> 0),
 pairs AS (SELECT DISTINCT l_orderkey AS read_id, l_partkey AS isoform_id, l_orderkey % 8 AS sample FROM lineitem),
 w AS (SELECT *, 1.0 / count(*) OVER (PARTITION BY read_id) AS w FROM pairs)
 """
