@@ -1,16 +1,4 @@
 import pytest
-from pyspark.sql import SparkSession
-
-
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    shared = tmp_path_factory.mktemp("shared")
-    s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", f"file://{shared}").getOrCreate()
-    )
-    s.sparkContext.setLogLevel("ERROR")
-    return s
 
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tag long, row string, `h` int, `key` string, digest string"
