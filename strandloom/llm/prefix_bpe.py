@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import with_id
 
-CACHE = 200_000  # matches that a worker remembers
+CACHE = 300_000  # matches that a worker remembers
 
 
 class PrefixBpe:
@@ -52,6 +52,7 @@ class PrefixBpe:
         self._left: dict[int, tuple] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._done: dict[str, bytes] = {}
+        self._prefixes: dict[bytes, int] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Encoding by definition: merge the leftmost pair of least rank, again and again."""
@@ -90,7 +91,7 @@ class PrefixBpe:
         known = self._fits.get((a, b))
         if known is None:
             known = self._fits[a, b] = self._may(self._spine(a, 1), self._spine(b, 0))
-            if len(self._fits) > 20 * CACHE:
+            if len(self._fits) > 3 * CACHE:
                 self._fits.clear()
         return known
 
@@ -117,11 +118,15 @@ class PrefixBpe:
         return last
 
     def _last(self, piece: bytes, end: int, last: list[int]) -> int:
+        ranks, known = self.ranks, self._fits
         for start in range(end - 1, max(0, end - self.longest) - 1, -1):
             part = piece[start:end]
-            token = self.ranks.get(part)
+            token = ranks.get(part)
             if token is not None:
-                if start == 0 or self.fits(last[start], token):
+                if start == 0:
+                    return token
+                fits = known.get((last[start], token))
+                if fits or fits is None and self.fits(last[start], token):
                     return token
             elif part not in self.tails:
                 break
@@ -142,7 +147,21 @@ class PrefixBpe:
 
     def encode(self, piece: bytes) -> list[int]:
         token = self.ranks.get(piece)
-        return [token] if token is not None else self.ids(self.prefixes(piece))
+        if token is not None:
+            return [token]
+        if len(piece) > 60:
+            return self.ids(self.prefixes(piece))
+        # Short matches share prefixes, whose last tokens are remembered.
+        last, known = [-1], self._prefixes
+        if len(known) > 3 * CACHE:
+            known.clear()
+        for end in range(1, len(piece) + 1):
+            part = piece[:end]
+            token = known.get(part)
+            if token is None:
+                token = known[part] = self._last(piece, end, last)
+            last.append(token)
+        return self.ids(last)
 
     def ids(self, last: list[int]) -> list[int]:
         """Walk back from the end of the text by last tokens."""
