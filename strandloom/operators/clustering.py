@@ -22,7 +22,7 @@ from .interval import loci
 LOCUS = ["chrom", "strand", "locus_start"]
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """A checkpoint in the shared folder: what several later steps read is computed once."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
@@ -126,7 +126,7 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     """
     cols = ["name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score"]
     both = reads.select(*cols, F.lit("read").alias("source")).unionByName(refs.select(*cols, F.lit("reference").alias("source")))
-    both = _cut(both.withColumn("instance_id", F.xxhash64("source", "name", F.to_json("exons"))).dropDuplicates(["instance_id"]))
+    both = cut(both.withColumn("instance_id", F.xxhash64("source", "name", F.to_json("exons"))).dropDuplicates(["instance_id"]))
     fixed = correct_reads(both, least, reach).drop("locus_start")
     kept = loci(fixed.where("NOT rare"), ["chrom", "strand"])
     anchored = kept.withColumn("anchored", F.max(F.col("source") == "reference").over(Window.partitionBy(*LOCUS)))
@@ -134,10 +134,10 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     t = anchored.where("anchored").withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
     # Equal reads are one node; a reference is always its own.
     node = F.when(F.col("is_ref"), F.concat(F.lit("!"), "name")).otherwise(F.concat_ws("|", "gene_id", "chrom", "strand", F.col("tx_start").cast("string"), F.col("tx_end").cast("string"), F.array_join("junctions", ",")))
-    t = _cut(t.withColumn("id", node))
+    t = cut(t.withColumn("id", node))
     nodes = t.groupBy("id").agg(F.max_by(F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref"), F.struct("score", "name")).alias("n")).select("id", "n.*").withColumn("length", G.total("exons"))
-    nodes = _cut(nodes)
-    edges = _cut(containers(nodes).unionByName(single_exon_containers(nodes)).distinct())
+    nodes = cut(nodes)
+    edges = cut(containers(nodes).unionByName(single_exon_containers(nodes)).distinct())
     roots = nodes.join(edges.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
     homes = edges.join(roots.select(F.col("id").alias("b")), "b").unionByName(roots.select(F.col("id").alias("a"), F.col("id").alias("b")))
     title = F.when(F.col("is_ref"), F.col("name")).otherwise(G.structural_id(F.coalesce("gene_id", F.lit("none")), F.col("chrom"), F.col("strand"), F.col("exons")))
@@ -168,3 +168,24 @@ def dedup_longest(tracks: DataFrame) -> DataFrame:
     """One row per name: the greatest exon length, the first read on a tie."""
     best = F.row_number().over(Window.partitionBy("name").orderBy(G.total("exons").desc(), "instance_id"))
     return tracks.withColumn("best", best).where("best = 1").drop("best")
+
+
+def overlap_assign(reads: DataFrame, refs: DataFrame, cutoff: float = 0.05, short_cutoff: float = 0.01, weight: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(mapping, unused): reads whose exons and introns lie near a reference's, jointly or within the shorter.
+
+    Reads are compared with references only, so a crowded locus costs reads times references, not reads squared.
+    """
+    from .interval import overlap_join
+
+    def shared(part, name: str) -> DataFrame:
+        side = lambda df, n, p: df.select("chrom", "strand", F.col("name").alias(n), F.explode(part).alias("e")).select("chrom", "strand", n, F.col("e.start").alias(f"{p}_start"), F.col("e.end").alias(f"{p}_end"))
+        pairs = overlap_join(side(reads, "read_id", "a"), side(refs, "isoform_id", "b"), ["chrom", "strand"])
+        return pairs.groupBy("read_id", "isoform_id").agg(F.sum(F.least("a_end", "b_end") - F.greatest("a_start", "b_start")).alias(name))
+
+    both = shared(F.col("exons"), "exon").join(shared(G.introns("exons"), "intron"), ["read_id", "isoform_id"], "left").withColumn("intron", F.coalesce("intron", F.lit(0)))
+    size = lambda df, n, p: df.select(F.col("name").alias(n), G.total("exons").alias(f"exon_{p}"), G.total(G.introns("exons")).alias(f"intron_{p}"))
+    both = both.join(size(reads, "read_id", "a"), "read_id").join(size(refs, "isoform_id", "b"), "isoform_id")
+    c = [F.col(x) for x in ("exon", "exon_a", "exon_b", "intron", "intron_a", "intron_b")]
+    near = (G.overlap_distance(*c, weight, False) <= cutoff) | (G.overlap_distance(*c, weight, True) <= short_cutoff)
+    mapping = both.where(near).select("read_id", "isoform_id")
+    return mapping, reads.select(F.col("name").alias("read_id")).distinct().join(mapping, "read_id", "left_anti")

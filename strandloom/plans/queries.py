@@ -424,3 +424,80 @@ def gtf_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Tracks written as GTF lines and assembled again from the exon lines."""
     back = bed.parse_annotation(bed.format_gtf(S.catalog(spark, d)).select("value")).where("error IS NULL")
     return back.select("name", "gene_id", "chrom", "strand", "tx_start", "tx_end", F.size("exons").cast("long").alias("exons"))
+
+
+@query("SELECT rd.name, CAST(sum(x.e - x.s) AS BIGINT) AS exon_bases, CAST(count(*) AS BIGINT) AS exons, CAST(min(x.s) AS BIGINT) AS first, CAST(max(x.e) AS BIGINT) AS last FROM rd JOIN rd_x x ON x.name = rd.name GROUP BY 1")
+def alignment_exons(spark: SparkSession, d: str) -> DataFrame:
+    """Reads written as alignments (start, CIGAR with clips and insertions) and turned into exons again."""
+    from ..functions.sequence import cigar_exons
+
+    body = F.array_join(F.transform(F.sequence(F.lit(0), F.size("exons") - 1), lambda i: F.concat((F.get(F.col("exons"), i)["end"] - F.get(F.col("exons"), i)["start"] - 1).cast("string"), F.lit("M2I1D"), F.when(i < F.size("exons") - 1, F.concat((F.get(F.col("exons"), i + 1)["start"] - F.get(F.col("exons"), i)["end"]).cast("string"), F.lit("N"))).otherwise(F.lit("5S")))), "")
+    x = S.reads(spark, d).select("name", cigar_exons(F.col("tx_start"), F.concat(F.lit("3S"), body)).alias("x"))
+    return _long(x.select("name", G.total("x").alias("exon_bases"), F.size("x").alias("exons"), F.get(F.col("x"), 0)["start"].alias("first"), F.element_at("x", -1)["end"].alias("last")), "exons")
+
+
+@query(""", q AS (SELECT doc_id, translate(regexp_replace(upper(text), '[^ACGT]', '', 'g'), 'x', '') AS s FROM documents)
+SELECT doc_id, CAST(len(list_filter(range(1, length(s) - 3), lambda i: regexp_matches(substr(s, i, 5), '^[AGT][AG]AC[ACT]$'))) AS BIGINT) AS sites FROM q WHERE length(s) >= 5""")
+def motif_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping motif hits in the letters of texts that are bases."""
+    from ..functions.sequence import motif_pattern
+
+    s = F.regexp_replace(F.upper("text"), "[^ACGT]", "")
+    q = S.table(spark, d, "documents").select("doc_id", s.alias("s")).where(F.length("s") >= 5)
+    return q.select("doc_id", F.regexp_count("s", F.lit(motif_pattern("DRACH"))).cast("long").alias("sites"))
+
+
+@query(""", q AS (SELECT doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS s FROM documents),
+p AS (SELECT 'd' || doc_id AS chrom, (doc_id * 37) % 500 AS pos, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, s FROM q)
+SELECT chrom, pos, strand, CASE WHEN pos < length(s) THEN CASE strand WHEN '+' THEN substr(s, pos + 1, 1) ELSE translate(substr(s, pos + 1, 1), 'ACGT', 'TGCA') END END AS base FROM p""")
+def oriented_bases(spark: SparkSession, d: str) -> DataFrame:
+    """Reference bases at sites, from sequence text cut into chunk rows."""
+    from ..sources.tables import bases_at, fasta_chunks
+
+    q = S.table(spark, d, "documents").select("doc_id", F.regexp_replace(F.upper("text"), "[^ACGT]", "").alias("s"))
+    head = q.select(F.col("doc_id").cast("string").alias("file"), F.lit(0).alias("line_no"), F.concat(F.lit(">d"), "doc_id", F.lit(" text")).alias("value"))
+    body = q.select(F.col("doc_id").cast("string").alias("file"), F.posexplode(F.regexp_extract_all("s", F.lit(".{1,60}"), 0)).alias("k", "value")).select("file", (F.col("k") + 1).alias("line_no"), "value")
+    sites = q.select(F.concat(F.lit("d"), "doc_id").alias("chrom"), ((F.col("doc_id") * 37) % 500).alias("pos"), F.when(F.col("doc_id") % 2 == 0, "+").otherwise("-").alias("strand"))
+    return bases_at(sites, fasta_chunks(head.unionByName(body), 100), 100)
+
+
+@query("""SELECT event_id AS read_id, CASE CAST(floor(value) AS BIGINT) % 4 WHEN 0 THEN 'anchor_not_found' WHEN 1 THEN 'estimation_failed' ELSE 'estimated' END AS status,
+CASE WHEN CAST(floor(value) AS BIGINT) % 4 > 1 THEN (CAST(floor(value) AS BIGINT) % 4 - 1)::DOUBLE END AS length FROM events""")
+def tail_tags(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources.tables import dorado_tails
+
+    tag = F.floor("value") % 4 - 1
+    status, length = dorado_tails(tag)
+    return S.table(spark, d, "events").select(F.col("event_id").alias("read_id"), status.alias("status"), length.alias("length"))
+
+
+@query("""SELECT rd.name AS read_id, split_part(rd.sample || '::' || rd.name, '::', 1) AS sample, count(*) OVER (PARTITION BY rd.sample) AS reads FROM rd""")
+def tagged_reads(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of all samples pooled under sample::read names and split again."""
+    from ..sources.tables import split_tag, union_samples
+
+    r = S.reads(spark, d)
+    pooled = union_samples({str(s): r.where(F.col("sample") == s).drop("sample") for s in range(8)})
+    sample, read = split_tag(F.concat_ws("::", "sample", "name"))
+    return pooled.select(read.alias("read_id"), sample.alias("sample")).withColumn("reads", F.count("*").over(Window.partitionBy("sample")))
+
+
+@query()
+def overlap_assignment(spark: SparkSession, d: str) -> DataFrame:
+    mapping, _ = clustering.overlap_assign(S.reads(spark, d), S.catalog(spark, d))
+    return mapping.groupBy("isoform_id").agg(F.count("*").alias("reads"))
+
+
+@query()
+def flow_usage(spark: SparkSession, d: str) -> DataFrame:
+    """The whole path from raw reads to usage per sample."""
+    from .flow import run
+
+    return _round(run(S.reads(spark, d), S.catalog(spark, d))["usage"], "count", "proportion", "gene_total")
+
+
+@query()
+def flow_classes(spark: SparkSession, d: str) -> DataFrame:
+    from .flow import run
+
+    return run(S.reads(spark, d), S.catalog(spark, d))["classes"].groupBy("class").agg(F.count("*").alias("isoforms"))
