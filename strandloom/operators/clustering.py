@@ -68,15 +68,18 @@ def correct_reads(tracks: DataFrame, least: int = 5, reach: int = 10) -> DataFra
 def end_support(tracks: DataFrame, end: Column, reach: int, counts: Column | None = None) -> DataFrame:
     """``tracks`` with ``support``: spliced reads of equal junctions whose end lies within ``reach``.
 
-    A RANGE window: nothing is paired.  References and single exons have none.
+    Reads are summed by place first; a RANGE window then runs over distinct places, and nothing is paired.
+    References and single exons have none.
     """
     chain = F.array_join(G.junction_positions("exons", "strand"), ",")
     t = tracks.withColumn("chain", chain).withColumn("end_pos", end)
     counts = F.lit(True) if counts is None else counts
     counted = (F.col("source") == "read") & (F.col("chain") != "") & counts
-    near = Window.partitionBy("chrom", "strand", "chain").orderBy("end_pos").rangeBetween(-reach, reach)
-    n = F.sum(counted.cast("long")).over(near)
-    return t.withColumn("support", F.when((F.col("chain") != "") & F.col("end_pos").isNotNull(), n).otherwise(0))
+    key = ["chrom", "strand", "chain"]
+    places = t.where("chain <> '' AND end_pos IS NOT NULL").groupBy(*key, "end_pos").agg(F.sum(counted.cast("long")).alias("n"))
+    near = Window.partitionBy(*key).orderBy("end_pos").rangeBetween(-reach, reach)
+    summed = places.select(*key, "end_pos", F.sum("n").over(near).alias("support"))
+    return t.join(summed, [*key, "end_pos"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
 
 
 def structures(tracks: DataFrame) -> DataFrame:
@@ -129,9 +132,9 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     both = cut(both.withColumn("instance_id", F.xxhash64("source", "name", F.to_json("exons"))).dropDuplicates(["instance_id"]))
     fixed = correct_reads(both, least, reach).drop("locus_start")
     kept = loci(fixed.where("NOT rare"), ["chrom", "strand"])
-    anchored = kept.withColumn("anchored", F.max(F.col("source") == "reference").over(Window.partitionBy(*LOCUS)))
+    anchored = kept.join(kept.where("source = 'reference'").select(*LOCUS).distinct(), LOCUS, "left_semi")
     chain = G.junction_positions("exons", "strand")
-    t = anchored.where("anchored").withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
+    t = anchored.withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
     # Equal reads are one node; a reference is always its own.
     node = F.when(F.col("is_ref"), F.concat(F.lit("!"), "name")).otherwise(F.concat_ws("|", "gene_id", "chrom", "strand", F.col("tx_start").cast("string"), F.col("tx_end").cast("string"), F.array_join("junctions", ",")))
     t = cut(t.withColumn("id", node))

@@ -37,15 +37,24 @@ def point_join(points: DataFrame, spans: DataFrame, keys: list[str], size: int =
     return x.join(y, [*keys, "bin"]).where("b_start <= pos AND pos < b_end").drop("bin")
 
 
-def loci(tracks: DataFrame, keys: list[str]) -> DataFrame:
+def loci(tracks: DataFrame, keys: list[str], size: int = 1 << 17) -> DataFrame:
     """``tracks`` with locus_start: connected spans of equal keys; touching spans are apart.
 
-    A locus is named by its least start, which does not depend on numbering or partitions.
+    A locus is named by its least start, which does not depend on numbering or partitions.  Only
+    distinct spans are ordered, and only within bins of ``size`` bases: what earlier bins hand on (how far they
+    reach, which locus is open) takes one row a bin.  So neither a chromosome nor a crowded gene is one task.
     """
-    order = Window.partitionBy(*keys).orderBy("tx_start", "tx_end")
-    reach = F.max("tx_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(reach.isNull() | (F.col("tx_start") >= reach), F.col("tx_start"))
-    return tracks.withColumn("opens", opens).withColumn("locus_start", F.max("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+    span = [*keys, "tx_start", "tx_end"]
+    spans = tracks.select(*span).distinct().withColumn("bin", F.floor(F.col("tx_start") / size))
+    earlier = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    reach = spans.groupBy(*keys, "bin").agg(F.max("tx_end").alias("far")).select(*keys, "bin", F.max("far").over(earlier).alias("far"))
+    within = Window.partitionBy(*keys, "bin").orderBy("tx_start", "tx_end")
+    before = F.greatest(F.col("far"), F.max("tx_end").over(within.rowsBetween(Window.unboundedPreceding, -1)))
+    opened = spans.join(reach, [*keys, "bin"]).withColumn("opens", F.when(before.isNull() | (F.col("tx_start") >= before), F.col("tx_start")))
+    handed = opened.groupBy(*keys, "bin").agg(F.max("opens").alias("open")).select(*keys, "bin", F.max("open").over(earlier).alias("open"))
+    here = F.max("opens").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    named = opened.join(handed, [*keys, "bin"]).select(*span, F.coalesce(here, "open").alias("locus_start"))
+    return tracks.join(named, span)
 
 
 def assign_genes(reads: DataFrame, refs: DataFrame, read_fraction: float = 0.01, ref_fraction: float = 0.05, size: int = BIN) -> DataFrame:

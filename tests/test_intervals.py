@@ -70,3 +70,20 @@ def test_rebuilt_exons(spark):
 def test_gene_fields(spark):
     d = spark.createDataFrame([("a0||b0", "b0"), ("a0", "a"), ("none", "x"), ("", "x"), (None, None)], "a string, b string")
     assert [r.ok for r in d.select(G.genes_compatible("a", "b").alias("ok")).collect()] == [True, False, True, True, True]
+
+
+def test_loci_over_many_bins(spark):
+    r = random.Random(8)
+    rows = [(r.choice("ab"), s, s + r.choice([1, 9, 40, 300])) for s in (r.randint(0, 3000) for _ in range(60))]
+    d = spark.createDataFrame(rows * 2, "chrom string, tx_start long, tx_end long")
+    want = set()
+    for c in "ab":
+        far = name = None
+        for s, e in sorted((s, e) for k, s, e in rows if k == c):
+            if far is None or s >= far:
+                name, far = s, e
+            far = max(far, e)
+            want.add((c, s, e, name))
+    for size in (16, 500, 1 << 17):
+        got = I.loci(d, ["chrom"], size)
+        assert {tuple(x) for x in got.select("chrom", "tx_start", "tx_end", "locus_start").collect()} == want and got.count() == len(rows) * 2
