@@ -97,3 +97,24 @@ def tail_summary(calls: DataFrame, mapping: DataFrame, universe: DataFrame) -> D
     for c in ("n_assigned", "n_estimated", "n_estimation_failed", "n_anchor_not_found", "n_missing"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
     return out
+
+
+# Fixed order of reasons: the first that holds is given.
+def eligibility(strict: bool, min_covering: int = 10, min_callable: int = 10, min_candidate_rate: float = 0.5, min_callable_rate: float = 0.5):
+    """The first reason why a row can't be compared, or ``ok``.
+
+    Columns: site_state, complete, join_low, n_unknown_source, n_implicit, implicit_callable, has_coverage,
+    reference_checked, verified, n_covering, n_candidate, n_callable.
+    """
+    c = F.col
+    rules = [
+        (c("site_state") == "structurally_absent", "site_absent"), (c("site_state") == "context_dependent", "context_dependent"), (c("site_state") == "reference_base_mismatch", "reference_base_mismatch"),
+        (c("site_state") == "unprojectable", "unprojectable"), (~c("complete"), "incomplete_candidate_universe"), (c("join_low"), "join_rate_low"),
+        ((c("n_unknown_source") > 0) | ((c("n_implicit") > 0) & ~c("implicit_callable")), "unknown_denominator"),
+    ]
+    if strict:
+        rules += [(~c("has_coverage"), "coverage_unavailable"), (~c("reference_checked"), "reference_unvalidated"), (~c("verified"), "provenance_unverified"), (c("n_covering") < min_covering, "low_covering")]
+    rules += [(c("n_callable") < min_callable, "low_callable")]
+    if strict:
+        rules += [(c("n_candidate") < min_candidate_rate * c("n_covering"), "low_candidate_rate"), (c("n_callable") < min_callable_rate * c("n_covering"), "low_callable_rate")]
+    return F.coalesce(*[F.when(rule, F.lit(name)) for rule, name in rules], F.lit("ok"))

@@ -501,3 +501,37 @@ def flow_classes(spark: SparkSession, d: str) -> DataFrame:
     from .flow import run
 
     return run(S.reads(spark, d), S.catalog(spark, d))["classes"].groupBy("class").agg(F.count("*").alias("isoforms"))
+
+
+@query(""", el AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'structurally_absent' WHEN 1 THEN 'context_dependent' WHEN 2 THEN 'reference_base_mismatch' WHEN 3 THEN 'unprojectable' ELSE 'present' END AS st,
+event_id % 10 <> 0 AS complete, event_id % 11 = 0 AS join_low, user_id % 5 AS unk, event_id % 4 AS imp, user_id % 2 = 0 AS ic, event_id % 13 <> 0 AS cov, event_id % 17 <> 0 AS refc, event_id % 19 <> 0 AS ver, user_id % 60 AS nc, user_id % 60 // 2 AS ncall, user_id % 60 // 2 + 5 AS ncand FROM events)
+SELECT event_id, CASE WHEN st = 'structurally_absent' THEN 'site_absent' WHEN st <> 'present' THEN st WHEN NOT complete THEN 'incomplete_candidate_universe' WHEN join_low THEN 'join_rate_low' WHEN unk > 3 OR (imp > 2 AND NOT ic) THEN 'unknown_denominator'
+WHEN NOT cov THEN 'coverage_unavailable' WHEN NOT refc THEN 'reference_unvalidated' WHEN NOT ver THEN 'provenance_unverified' WHEN nc < 10 THEN 'low_covering' WHEN ncall < 10 THEN 'low_callable' WHEN ncand < 0.6 * nc THEN 'low_candidate_rate' WHEN ncall < 0.495 * nc THEN 'low_callable_rate' ELSE 'ok' END AS reason FROM el""")
+def eligibility_reasons(spark: SparkSession, d: str) -> DataFrame:
+    e = S.table(spark, d, "events")
+    k, half = F.col("event_id"), F.floor(F.col("user_id") % 60 / 2)
+    state = F.when(k % 9 == 0, "structurally_absent").when(k % 9 == 1, "context_dependent").when(k % 9 == 2, "reference_base_mismatch").when(k % 9 == 3, "unprojectable").otherwise("present")
+    rows = e.select(
+        k, state.alias("site_state"), (k % 10 != 0).alias("complete"), (k % 11 == 0).alias("join_low"), F.greatest(F.col("user_id") % 5 - 3, F.lit(0)).alias("n_unknown_source"), F.greatest(k % 4 - 2, F.lit(0)).alias("n_implicit"),
+        (F.col("user_id") % 2 == 0).alias("implicit_callable"), (k % 13 != 0).alias("has_coverage"), (k % 17 != 0).alias("reference_checked"), (k % 19 != 0).alias("verified"), (F.col("user_id") % 60).alias("n_covering"), (half + 5).alias("n_candidate"), half.alias("n_callable"),
+    )
+    return rows.select("event_id", modification.eligibility(True, 10, 10, 0.6, 0.495).alias("reason"))
+
+
+@query()
+def structural_description(spark: SparkSession, d: str) -> DataFrame:
+    """Reads described in words against the nearest reference of the genes they overlap."""
+    return description.describe(_named(spark, d), S.catalog(spark, d)).select("isoform_id", "gene", "ref_id", "miss", "extra", "class4")
+
+
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    r = S.reads(spark, d)
+    genes = interval.assign_genes(r, S.catalog(spark, d)).withColumnRenamed("genes", "gene_id")
+    return r.drop("gene_id").join(genes, "name")
+
+
+@query()
+def twelve_classes(spark: SparkSession, d: str) -> DataFrame:
+    named, refs = _named(spark, d), S.catalog(spark, d)
+    none = refs.where("false").select(F.col("name").alias("isoform_id"))
+    return description.class12(description.describe(named, refs), description.fusions(named, refs), none)

@@ -122,3 +122,17 @@ def bases_at(sites: DataFrame, chunks: DataFrame, width: int = 4096) -> DataFram
     j = sites.withColumn("chunk", F.floor(F.col("pos") / width)).join(chunks, ["chrom", "chunk"], "left")
     base = F.nullif(F.substring("bases", (F.col("pos") % width + 1).cast("int"), F.lit(1)), F.lit(""))
     return j.withColumn("base", oriented(base, F.col("strand"))).drop("chunk", "bases")
+
+
+ASSAY = (
+    "schema_version int, assay_id string, caller string, caller_version string, model_id string, chemistry string, candidate_rule string, source_emission_threshold double, source_site_filter string, "
+    "candidate_observations_complete boolean, provenance_status string, implicit_skip_policy string, coordinate_source string, read_id_mapping string, source_files array<string>"
+)
+
+
+def assay_metadata(texts: DataFrame) -> DataFrame:
+    """One row per JSON text (``value``): version 1 and known fields only."""
+    known = [f.split()[0] for f in ASSAY.split(", ")]
+    a = texts.select(F.from_json("value", ASSAY, {"mode": "FAILFAST"}).alias("a"), F.json_object_keys("value").alias("keys"))
+    bad = (F.col("a.schema_version") != 1) | (F.size(F.array_except("keys", F.array(*[F.lit(k) for k in known]))) > 0) | F.col("a.assay_id").isNull()
+    return _must(a, bad, "assay metadata of another version or with unknown fields").select("a.*")
