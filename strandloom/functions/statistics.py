@@ -23,9 +23,12 @@ def odds_ratio(a: Column, b: Column, c: Column, d: Column) -> Column:
     return ((a + 0.5) * (d + 0.5)) / ((b + 0.5) * (c + 0.5))
 
 
-def rank_score(seed: int, key: Column, replicate: int | None = None) -> Column:
-    """A hex digest that ranks ids for seeded sampling, the same on every engine and at every size."""
-    parts = [b"trackcluster-mod-subsample-v1\0", seed.to_bytes(8, "little")]
+def rank_score(seed: int, key: Column, replicate: int | None = None, domain: bytes = b"subsample-v1\0") -> Column:
+    """A hex digest that ranks ids for seeded sampling, the same on every engine and at every size.
+
+    ``domain`` separates uses of one seed; give the prefix of another tool to draw its samples.
+    """
+    parts = [domain, seed.to_bytes(8, "little")]
     if replicate is not None:
         parts.append(replicate.to_bytes(8, "little"))
     head = b"".join(parts) + b"\0"
