@@ -12,6 +12,7 @@ to every stayed structure that holds its own.
 from __future__ import annotations
 
 import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,7 +92,7 @@ def structures(tracks: DataFrame) -> DataFrame:
 
 
 def containers(chains: DataFrame) -> DataFrame:
-    """(a, b): the junctions of spliced structure ``a`` are the 3' end of those of ``b``, or the same.
+    """(a, b, same): the junctions of spliced structure ``a`` are the 3' end of those of ``b``, or the same.
 
     ``chains``: id, chrom, strand, locus_start, junctions (transcript order), length, is_ref. Each chain
     lists its suffixes once, and an equality join on the suffix finds what it holds.
@@ -103,7 +104,7 @@ def containers(chains: DataFrame) -> DataFrame:
     long = long.select("chrom", "strand", "locus_start", "b", "b_length", "b_ref", F.col("t.whole").alias("whole"), F.col("t.chain").alias("chain"))
     short = chains.where("NOT is_ref").select("chrom", "strand", "locus_start", F.col("id").alias("a"), F.col("length").alias("a_length"), F.array_join("junctions", ",").alias("chain"))
     larger = F.col("b_ref") | ~F.col("whole") | (F.col("b_length") > F.col("a_length")) | ((F.col("b_length") == F.col("a_length")) & (F.col("b") < F.col("a")))
-    return short.join(long, key).where((F.col("a") != F.col("b")) & larger).select("a", "b")
+    return short.join(long, key).where((F.col("a") != F.col("b")) & larger).select("a", "b", F.col("whole").alias("same"))
 
 
 def single_exon_containers(tracks: DataFrame) -> DataFrame:
@@ -119,10 +120,40 @@ def single_exon_containers(tracks: DataFrame) -> DataFrame:
     same = (F.col("b_start") == F.col("a_start")) & (F.col("a_end") == F.col("b_end"))
     strict = (F.col("b_start") < F.col("a_start")) & (F.col("a_end") < F.col("b_end"))
     plain = (same & (F.col("b_ref") | (F.col("b") < F.col("a")))) | (strict & (F.col("strand") != "."))
-    return overlap_join(a, b, key).where((F.col("a") != F.col("b")) & F.when(F.col("n") == 1, plain).otherwise(within)).select("a", "b")
+    return overlap_join(a, b, key).where((F.col("a") != F.col("b")) & F.when(F.col("n") == 1, plain).otherwise(within)).select("a", "b", F.lit(False).alias("same"))
 
 
-def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Ends:
+    """When a well supported end keeps a read apart from a container that ends elsewhere.
+
+    3' ends count only between equal junctions.  5' ends count where reads have a leader score above
+    ``leader_score``; a negative one turns that off.
+    """
+
+    three_reach: int = 10
+    three_support: int = 5
+    three_offset: int = 50
+    leader_score: int = -1
+    five_reach: int = 15
+    five_support: int = 2
+    five_offset_same: int = 25
+    five_offset: int = 15
+
+
+def _apart(nodes: DataFrame, edges: DataFrame, ends: Ends) -> DataFrame:
+    """``edges`` without those that a protected end of ``a`` forbids."""
+    cols = ("is_ref", "three", "three_n", "five", "five_n")
+    side = lambda n: nodes.select(F.col("id").alias(n), *[F.col(c).alias(f"{n}_{c}") for c in cols])
+    j = edges.join(side("a"), "a").join(side("b"), "b")
+    far = lambda c, most: F.coalesce(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) > most, F.lit(True))
+    weak = ~F.col("b_is_ref") & (F.col("b_three_n") < ends.three_support)
+    three = F.col("same") & (F.col("a_three_n") >= ends.three_support) & (weak | far("three", ends.three_offset))
+    five = (F.col("a_five_n") >= ends.five_support) & F.when(F.col("same"), far("five", ends.five_offset_same)).otherwise(far("five", ends.five_offset))
+    return j.where(~three & ~five).select("a", "b")
+
+
+def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends = Ends()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(isoforms, mapping, unused) of reads and references (name, chrom, strand, tx_start, tx_end, exons, gene_id, score).
 
     Loci without a reference are unused, and so are reads with a site that no strong site is near.
@@ -137,10 +168,16 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     t = anchored.withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
     # Equal reads are one node; a reference is always its own.
     node = F.when(F.col("is_ref"), F.concat(F.lit("!"), "name")).otherwise(F.concat_ws("|", "gene_id", "chrom", "strand", F.col("tx_start").cast("string"), F.col("tx_end").cast("string"), F.array_join("junctions", ",")))
-    t = cut(t.withColumn("id", node))
-    nodes = t.groupBy("id").agg(F.max_by(F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref"), F.struct("score", "name")).alias("n")).select("id", "n.*").withColumn("length", G.total("exons"))
+    t = t.withColumn("id", node).withColumn("three", G.three_prime("strand", "tx_start", "tx_end")).withColumn("five", G.five_prime("strand", "tx_start", "tx_end"))
+    t = end_support(t, F.col("three"), ends.three_reach).withColumnRenamed("support", "three_n").drop("chain", "end_pos")
+    if ends.leader_score >= 0:
+        t = end_support(t, F.col("five"), ends.five_reach, F.col("score") > ends.leader_score).withColumnRenamed("support", "five_n").drop("chain", "end_pos")
+    else:
+        t = t.withColumn("five_n", F.lit(0).cast("long"))
+    t = cut(t)
+    nodes = t.groupBy("id").agg(F.max_by(F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref", "three", "three_n", "five", "five_n"), F.struct("score", "name")).alias("n")).select("id", "n.*").withColumn("length", G.total("exons"))
     nodes = cut(nodes)
-    edges = cut(containers(nodes).unionByName(single_exon_containers(nodes)).distinct())
+    edges = cut(_apart(nodes, containers(nodes).unionByName(single_exon_containers(nodes)), ends).distinct())
     roots = nodes.join(edges.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
     homes = edges.join(roots.select(F.col("id").alias("b")), "b").unionByName(roots.select(F.col("id").alias("a"), F.col("id").alias("b")))
     title = F.when(F.col("is_ref"), F.col("name")).otherwise(G.structural_id(F.coalesce("gene_id", F.lit("none")), F.col("chrom"), F.col("strand"), F.col("exons")))

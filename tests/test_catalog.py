@@ -40,6 +40,26 @@ def test_weak_site_snaps_and_far_one_is_rare(tracks):
     assert sorted(r.read_id for r in mapping.collect()) == ["near", "r0", "r1", "r2", "r3", "r4"] and sorted(r.read_id for r in unused.collect()) == ["far", "lost"]
 
 
+@pytest.mark.parametrize("strand", ["+", "-"])
+def test_two_supported_ends_are_two_isoforms(tracks, strand):
+    flip = (lambda x: x) if strand == "+" else (lambda x: [(2000 - e, 2000 - s) for s, e in reversed(x)])
+    body = lambda end: flip([(100, 200), (300, 400), (500, end)])
+    refs = tracks(("ref", "chr1", strand, body(1000), "G", 0))
+    rows = [(f"a{i}", "chr1", strand, body(1000 - i % 4), "G", 0) for i in range(40)] + [(f"b{i}", "chr1", strand, body(840 - i % 4), "G", 0) for i in range(10)] + [("lone", "chr1", strand, body(700), "G", 0)]
+    isoforms, mapping, unused = K.junction_catalog(tracks(*rows), refs)
+    assert isoforms.count() == 2 and unused.count() == 0
+    n = sorted(r["count"] for r in mapping.groupBy("isoform_id").count().collect())
+    assert n == [11, 41]
+
+
+def test_leader_reads_keep_their_start(tracks):
+    refs = tracks(("ref", "chr1", "+", [(100, 200), (300, 400), (500, 600)], "G", 0))
+    rows = [(f"s{i}", "chr1", "+", [(320, 400), (500, 600)], "G", 50) for i in range(3)] + [(f"p{i}", "chr1", "+", [(340, 400), (500, 600)], "G", 0) for i in range(3)]
+    on, _, _ = K.junction_catalog(tracks(*rows), refs, ends=K.Ends(leader_score=11))
+    off, _, _ = K.junction_catalog(tracks(*rows), refs)
+    assert on.count() == 2 and off.count() == 1
+
+
 def test_longest_by_name_keeps_the_first_of_equals(tracks):
     t = tracks(("x", "c", "+", [(0, 10)], "g", 0), ("x", "c", "+", [(5, 30)], "g", 0), ("x", "c", "+", [(50, 75)], "g", 0), ("y", "c", "+", [(1, 2)], "g", 0))
     assert {(r.name, r.tx_start) for r in K.dedup_longest(t).collect()} == {("x", 5), ("y", 1)}
