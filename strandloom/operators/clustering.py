@@ -53,7 +53,7 @@ def snap_sites(support: DataFrame, least: int = 5, reach: int = 10) -> DataFrame
 
 def correct_reads(tracks: DataFrame, least: int = 5, reach: int = 10) -> DataFrame:
     """``tracks`` with corrected exons and ``rare``; references are anchors and stay as they are."""
-    located = loci(tracks, ["chrom", "strand"])
+    located = cut(loci(tracks, ["chrom", "strand"]))
     sites = snap_sites(site_support(located), least, reach)
     placed = located.select("source", *LOCUS, "instance_id", F.posexplode(G.junction_positions("exons", "strand")).alias("i", "pos")).where("source = 'read'")
     fixed = placed.join(sites.select(*LOCUS, "pos", "corrected"), [*LOCUS, "pos"]).groupBy("instance_id").agg(
@@ -161,15 +161,15 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     cols = ["name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score"]
     both = reads.select(*cols, F.lit("read").alias("source")).unionByName(refs.select(*cols, F.lit("reference").alias("source")))
     both = cut(both.withColumn("instance_id", F.xxhash64("source", "name", F.to_json("exons"))).dropDuplicates(["instance_id"]))
-    fixed = correct_reads(both, least, reach).drop("locus_start")
-    kept = loci(fixed.where("NOT rare"), ["chrom", "strand"])
+    fixed = cut(correct_reads(both, least, reach).drop("locus_start"))
+    kept = cut(loci(fixed.where("NOT rare"), ["chrom", "strand"]))
     anchored = kept.join(kept.where("source = 'reference'").select(*LOCUS).distinct(), LOCUS, "left_semi")
     chain = G.junction_positions("exons", "strand")
     t = anchored.withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
     # Equal reads are one node; a reference is always its own.
     node = F.when(F.col("is_ref"), F.concat(F.lit("!"), "name")).otherwise(F.concat_ws("|", "gene_id", "chrom", "strand", F.col("tx_start").cast("string"), F.col("tx_end").cast("string"), F.array_join("junctions", ",")))
     t = t.withColumn("id", node).withColumn("three", G.three_prime("strand", "tx_start", "tx_end")).withColumn("five", G.five_prime("strand", "tx_start", "tx_end"))
-    t = end_support(t, F.col("three"), ends.three_reach).withColumnRenamed("support", "three_n").drop("chain", "end_pos")
+    t = end_support(cut(t), F.col("three"), ends.three_reach).withColumnRenamed("support", "three_n").drop("chain", "end_pos")
     if ends.leader_score >= 0:
         t = end_support(t, F.col("five"), ends.five_reach, F.col("score") > ends.leader_score).withColumnRenamed("support", "five_n").drop("chain", "end_pos")
     else:
