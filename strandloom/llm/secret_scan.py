@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-# Weak parts.
-IDENTIFIER = r"(?i:user(?:_?(?:name|id))?|login|account(?:_?id)?|client_?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,64}"
-RANDOM = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}"
+# Weak parts.  A run may follow a '=' (KEY=VALUE); as part of a run it is padding at the end only.
+IDENTIFIER = r"(?i:user(?:_?(?:name|id))?|login|account(?:_?(?:name|id))?|client_?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,64}"
+RANDOM = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}"
 ENDPOINT = r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]{4,}"
 BREAK = r"\n[\x20\t\r]*\n"
 KINDS = ("assign", "access", "hex", "identifier", "random", "endpoint")
