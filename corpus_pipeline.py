@@ -38,7 +38,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the tokenised documents into sequences."""
-    return best_fit.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = best_fit.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("jaccard_join", near), ("secret_scan", secrets), ("best_fit", packing)]

@@ -19,6 +19,7 @@ no pieces.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -33,26 +34,36 @@ GROUP = 20_000
 END_ID = 0
 
 
-def _encoder(table: bytes, pattern: str, known: dict = {}):  # noqa: B006  one encoder a worker
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """The added tokens of a JSON vocabulary; a text is split at them before anything else."""
+    with open(vocabulary, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t[k] for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("an added token that does not match literally")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def _encoder(table: bytes, pattern: str, added: dict[str, int], known: dict = {}):  # noqa: B006  one encoder a worker
     import tiktoken
 
-    if pattern not in known:
+    key = pattern, *added.items()
+    if key not in known:
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in table.splitlines() if x)}
-        known[pattern] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return known[pattern]
+        known[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+    return known[key]
 
 
-def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int, added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     with open(vocabulary, "rb") as f:
         table = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(table.value, pattern)
+        enc = _encoder(table.value, pattern, added or {})
         for b in batches:
             out = []
             for doc, text in zip(b["doc_id"], b["t"]):
-                ids = np.append(enc.encode_to_numpy(text), END_ID).astype("<u4")
+                ids = np.append(enc.encode_to_numpy(text, allowed_special="all"), END_ID).astype("<u4")
                 first = (len(ids) - 1) % capacity + 1
                 for k, stop in enumerate(range(first, len(ids) + 1, capacity)):
                     start = max(0, stop - capacity) if k else 0
@@ -89,14 +100,16 @@ def best_fit(demand: np.ndarray, capacity: np.ndarray, weights: np.ndarray, scor
     return out
 
 
-def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, max_docs: int = 2048, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.01, 0.01), score: str = "norm", group: int = GROUP) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, max_docs: int = 2048, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.01, 0.01), score: str = "norm", group: int = GROUP, added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece.
 
+    ``added``: tokens that stand for themselves wherever a text holds them, from :func:`added_tokens`.
+
     A piece that breaks ``max_attention`` by itself is an error: nothing could hold it.
     """
     most = capacity * capacity if max_attention is None else max_attention
     caps, factor = np.array([capacity, max_docs, most], dtype=float), np.array(weights)
-    made = materialize(pieces(docs, vocabulary, pattern, capacity), "pieces")
+    made = materialize(pieces(docs, vocabulary, pattern, capacity, added), "pieces")
     made = made.withColumn("id", F.monotonically_increasing_id())
     full = made.where(F.col("length") == capacity)
     part = made.where(F.col("length") < capacity)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import best_fit, exact_dedup, hilbert_shards, jaccard_join, mil_quality, prefix_bpe, quality_rules, secret_scan, suffix_dedup, token_scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_OF_DOCUMENT = 50256
 
 
@@ -54,7 +55,7 @@ def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, added=best_fit.added_tokens(VOCABULARY))
 
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op3_mil_quality, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit)}

@@ -156,6 +156,28 @@ def test_packing(docs, texts, enc):
         assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
+def test_packed_ids_are_those_of_the_json_vocabulary(spark, texts, tmp_path):
+    import zlib
+
+    import corpus_pipeline
+    from strandloom.llm import queries
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    every = "".join(f"{c}{c} {c}1" for c in map(chr, [*range(1, 0xD800), *range(0xE000, 0x110000)]))
+    marked = [f"a {mark} b", mark, f"x{mark}{mark}y\n\n {mark}  z", f"<|{mark}|>", mark[:-1], None, "", f"word {mark} " * 900]
+    rows = list(enumerate(marked + list(texts.values())[:40] + [every[i : i + 300_000] for i in range(0, len(every), 300_000)]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: np.array(whole.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for i, t in rows}
+    assert ids[0].tolist() == [64, 220, 50256, 275, 0]
+    for packed in (queries.op10_best_fit(spark, str(tmp_path)), corpus_pipeline.packing(spark, d, "")):
+        got = packed.collect()
+        assert sum(r.length for r in got) == sum(map(len, ids.values()))
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) for r in got)
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 def test_best_fit_keeps_every_constraint(score):
     rng = np.random.default_rng(3)
