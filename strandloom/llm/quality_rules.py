@@ -49,6 +49,8 @@ THRESHOLDS = (
     Rule("bullet_line_ratio", None, 0.9),
     Rule("ellipsis_line_ratio", None, 0.3),
 )
+# What a corpus keeps: length alone rejects no text, the ratios judge long ones too.
+CORPUS = tuple(Rule(r.measure, r.low) if r.measure == "n_words" else r for r in THRESHOLDS)
 
 
 def compile_rules(rules: tuple[Rule, ...]) -> Column:
@@ -121,7 +123,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> Data
     return measures(docs).withColumn("base_failed", failed).withColumn("kept", ~failed & compile_rules(rules))
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = CORPUS) -> DataFrame:
     """``docs`` without the rows that fail; all columns kept.  Narrow: rows are judged in place."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
     # The row's number keeps the optimizer from copying the whole projection into the filter.

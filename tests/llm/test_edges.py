@@ -51,6 +51,13 @@ def test_stages_keep_columns_and_take_no_rows(spark, edges, empty):
         assert stage(empty).count() == 0
 
 
+def test_long_clean_text_stays(spark):
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(5))
+    text = " ".join("the" if i % 20 == 0 else name(i) for i in range(1_000_001))
+    docs = spark.createDataFrame([(1, text), (2, "one two")], "doc_id long, text string")
+    assert [r.doc_id for r in quality_rules.keep_good(docs).select("doc_id").collect()] == [1]
+
+
 def test_exact_dedup(edges):
     rows = exact_dedup.exact_dedup(edges).collect()
     by = {}
