@@ -26,8 +26,8 @@ STOP_WORDS = (
     "el los las y del se por con una para su al lo como "
     "der die und den von zu das mit sich auf für ist im dem nicht ein eine als auch"
 ).split()
-# Fixed bit split of a sort key: hash above, word position below; texts of up to 2**24 words.
-POSITION_BITS = 24
+# Bit split of a sort key: hash above, word position below.  No array is longer than 2**31.
+POSITION_BITS = 31
 
 
 @dataclass(frozen=True)
@@ -64,30 +64,47 @@ def compile_rules(rules: tuple[Rule, ...]) -> Column:
     return ok
 
 
-def repeated_words(words: Column, keys: Column) -> Column:
+def repeated_words(words: Column, keys: Column, bits: int = POSITION_BITS) -> Column:
     """How many words lie in a three-word window that the text holds twice or more.
 
-    ``keys``: from :func:`window_keys`. Equal windows are neighbours after one primitive sort; the
-    words of neighbours are compared, so a shared hash alone never counts.
+    ``keys``: from :func:`shared_keys`.  If neighbours of one hash always hold the same words, all
+    are repeats.  Else different windows share a hash: these texts' keys are sorted by the words.
     """
-    mask = (1 << POSITION_BITS) - 1
-    at = lambda j: F.get(keys, j).bitwiseAND(F.lit(mask)).cast("int")
+    at = lambda key: key.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    window = lambda p: F.struct(*[F.get(words, p + d).alias(f"w{d}") for d in range(3)])
+
+    def differ(j: Column) -> Column:
+        a, b = F.get(keys, j - 1), F.get(keys, j)
+        return _same_hash(a, b, bits) & (window(at(a)) != window(at(b)))
+
+    def repeats(sorted_: Column) -> Column:
+        same = lambda j, k: F.coalesce(F.get(sorted_, j)["w"] == F.get(sorted_, k)["w"], F.lit(False))
+        twice = F.filter(F.sequence(F.lit(0), F.size(sorted_) - 1), lambda j: same(j, j - 1) | same(j, j + 1))
+        return F.transform(twice, lambda j: F.get(sorted_, j)["at"])
+
+    by_words = F.sort_array(F.transform(keys, lambda x: F.struct(window(at(x)).alias("w"), at(x).alias("at"))))
+    # An array of one binds the sorted windows, which are else sorted again for each element.
+    exact = F.get(F.transform(F.array(by_words), repeats), 0)
+    clash = F.exists(F.sequence(F.lit(1), F.size(keys) - 1), differ)
+    starts = F.sort_array(F.when(clash, exact).otherwise(F.transform(keys, at)))
+    add = lambda acc, p: F.struct((p + 3).alias("end"), (acc["n"] + p + 3 - F.greatest(p, acc["end"])).alias("n"))
+    n = F.aggregate(starts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), add, lambda acc: acc["n"])
+    return F.when(F.size(keys) > 1, n)
 
-    def same(j: Column, k: Column) -> Column:
-        hashes = F.shiftrightunsigned(F.get(keys, j).bitwiseXOR(F.get(keys, k)), POSITION_BITS) == 0
-        equal = hashes
-        for d in range(3):
-            equal = equal & (F.get(words, at(j) + d) == F.get(words, at(k) + d))
-        return F.coalesce(equal, F.lit(False))
 
-    starts = F.sort_array(F.transform(F.filter(F.sequence(F.lit(0), F.size(keys) - 1), lambda j: same(j, j - 1) | same(j, j + 1)), at))
-    add = lambda acc, p: F.struct((p + 3).alias("end"), (acc["n"] + p + 3 - F.greatest(p, acc["end"])).alias("n"))
-    return F.aggregate(starts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), add, lambda acc: acc["n"])
+def _same_hash(a: Column, b: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(a.bitwiseXOR(b), bits) == 0
+
+
+def shared_keys(keys: Column, bits: int = POSITION_BITS) -> Column:
+    """Of sorted ``keys`` those whose hash another one has: all repeated windows, and a few more."""
+    same = lambda x, j: F.coalesce(_same_hash(x, F.get(keys, j), bits), F.lit(False))
+    return F.filter(keys, lambda x, i: same(x, i - 1) | same(x, i + 1))
 
 
-def window_keys(words: Column) -> Column:
-    """Sorted keys of all three-word windows: 40 bits of hash, then the window's position."""
-    top = F.lit(-(1 << POSITION_BITS))
+def window_keys(words: Column, bits: int = POSITION_BITS) -> Column:
+    """Sorted keys of all three-word windows: the hash's high bits, then the window's position."""
+    top = F.lit(-(1 << bits))
     key = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(top).bitwiseOR(i.cast("long"))
     return F.when(F.size(words) >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), key)))
 
@@ -98,7 +115,8 @@ def measures(docs: DataFrame) -> DataFrame:
     with_word = F.filter(F.split(F.col("t"), "\n", -1), lambda x: x.rlike(WORD))
     d = docs.select("doc_id", text.alias("t"))
     d = d.select("doc_id", "t", F.regexp_extract_all("t", F.lit(WORD), 0).alias("w"), with_word.alias("lines"))
-    d = d.select("*", window_keys(F.col("w")).alias("keys"))
+    d = d.select("*", window_keys(F.col("w")).alias("all_keys"))
+    d = d.select("*", shared_keys(F.col("all_keys")).alias("keys")).drop("all_keys")
     n = F.size("w")
     ratio = lambda x, of: F.when(of > 0, x / of).otherwise(F.lit(0.0))
     count = lambda a, f: F.size(F.filter(a, f))

@@ -250,6 +250,20 @@ def test_secret_after_equals_sign(spark, text, secret):
     assert secret not in secret_scan.redact(d).where("doc_id = 1").first().text
 
 
+@pytest.mark.parametrize("bits", [31, 60, 63])
+def test_repeats_do_not_rest_on_hashes(spark, texts, bits):
+    from pyspark.sql import functions as F
+    from strandloom.llm import quality_rules
+
+    rows = [(i, re.findall("[^\x20\x09-\x0d]+", t)) for i, t in texts.items()] + [(-1, "a b c d e a b c x b c d".split()), (-2, ["a"] * 9), (-3, [])]
+    d = spark.createDataFrame(rows, "doc_id long, w array<string>").select("*", quality_rules.window_keys(F.col("w"), bits).alias("all"))
+    d = d.select("*", quality_rules.shared_keys(F.col("all"), bits).alias("keys"))
+    got = {r.doc_id: r.n for r in d.select("doc_id", F.coalesce(quality_rules.repeated_words(F.col("w"), F.col("keys"), bits), F.lit(0)).alias("n")).collect()}
+    for i, w in rows:
+        seen = Counter(zip(w, w[1:], w[2:]))
+        assert got[i] == len({k + j for k, x in enumerate(zip(w, w[1:], w[2:])) if seen[x] > 1 for j in range(3)})
+
+
 def test_classifier_on_held_out(spark):
     sf = "/root/testdata/sf0.01"
     d, l = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
