@@ -2,22 +2,24 @@
 
 Base spans come from three patterns.  Weak parts (a bare user or key name, a long random-looking
 string, an endpoint) say little alone.  A weak part is reported only if its complements lie in
-the same scope: the same paragraph, within ``REACH`` code points.  An identifier needs a secret,
-a secret needs an identifier, an endpoint needs both; base spans count as complements (access:
-identifier; assign and hex: secret) and are always reported.
+the same scope: the same paragraph, with at most ``REACH`` code points between the two intervals.
+An identifier needs a secret, a secret needs an identifier, an endpoint needs both; base spans
+count as complements (access: identifier; assign and hex: secret) and are always reported.
 
-The interval join runs as range windows over the parts of one row of the input, sorted by start:
-no pair of parts is ever made, so a text with thousands of parts costs n log n.  Texts don't
-leave their row; only parts are shuffled, and only for rows that hold complementary weak parts.
+The interval join is a sweep within the row: the parts of a text are sorted by start, and running
+extrema carry the nearest end before and the nearest start behind each part.  So no pair of parts is
+made, no text or part is shuffled, and a text with n matches costs n log n steps (:func:`scan`).
 
 Defined results: null texts count as empty, empty ones have no spans and the digest of the empty
-string.  Rows are told apart by position, so repeated ids or rows give a result each.  Other
+string.  Every row is judged by itself, so repeated ids or rows give a result each.  Other
 columns are ignored, whatever their names.  Ties of start are ordered by kind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns of the base kinds.
@@ -30,86 +32,151 @@ RANDOM = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A
 ENDPOINT = r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]{4,}"
 BREAK = r"\n[\x20\t\r]*\n"
 KINDS = ("assign", "access", "hex", "identifier", "random", "endpoint")
+SCOPE = 9  # kind of a paragraph break among the parts
 REACH = 300
 
 
-def spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
-    """Leftmost non-overlapping matches as array<struct<start,kind,end>> in code points.
+CHUNK = 2048  # code points that a cut of a long text reads at once
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, which is computed once however often and deep the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running ``combine`` (associative; earlier value first) of an array, by doubling.
 
-    What lies between matches (split) and the matches themselves give the places by running sum.
+    Each of the log n steps makes the array anew, so nothing is appended element by element.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("len")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["len"]).alias("end"))
-        return F.struct((start + F.coalesce(x["len"], F.lit(0))).alias("at"), F.when(x["len"].isNotNull(), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def step(acc: Column, k: Column) -> Column:
+        hop = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i >= hop, combine(F.get(acc, i - hop), x)).otherwise(x))
 
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
+    hops = lambda a: F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(a), F.lit(2)))).cast("int") - 1)
+    return bind(values, lambda a: F.aggregate(hops(a), a, step))
+
+
+def spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
+    """Leftmost non-overlapping matches as array<struct<start,kind,end>> in code points.
+
+    What lies between matches (split) and the matches themselves give the places by running sums.
+    """
+    all_of = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
+    sizes = lambda a: F.transform(a, F.length)
+    # The last gap follows no match and is left out.
+    parts = F.zip_with(sizes(F.slice(F.split(text, pattern, -1), 1, F.size(all_of(0)))), sizes(all_of(0)), lambda gap, hit: F.struct((gap + hit).alias("to"), hit.alias("len")))
+    ends = scan(parts, lambda a, b: F.struct((a["to"] + b["to"]).alias("to"), b["len"].alias("len")))
+    found = F.transform(ends, lambda x: F.struct((x["to"] - x["len"]).alias("start"), F.lit(kind).alias("kind"), x["to"].alias("end")))
     if group is not None:
-        sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-        found = F.filter(found, lambda x, i: F.get(sizes, i) >= least)
-    return F.when(text.rlike(pattern), found).otherwise(none)
+        found = bind(sizes(all_of(group)), lambda n: F.filter(found, lambda x, i: F.get(n, i) >= least))
+    return F.when(text.rlike(pattern), found.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
-def _listed(a: Column, of: str = "start") -> Column:
+def _listed(a: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(a, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def secret_scan(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_weak, parts for every row.
+def linked(events: Column) -> Column:
+    """Of sorted ``events`` (parts, and breaks of kind ``SCOPE``) the weak parts with complements.
 
-    ``parts`` is the sorted array of reported spans; ``carry`` names input columns to hand through.
+    A part's place is its scope times 2**32 plus an offset: the greatest end of a complement so far
+    is then in this scope or an earlier one, and likewise the least start to come.
     """
-    keep = F.struct(*[F.col(f"`{c}`") for c in (carry or [])], F.lit(0).alias("__none")).alias("row")
-    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t"), keep)
+    none, wide = F.lit(-1).cast("long"), F.lit(1 << 32)
+    far = F.lit((1 << 62))
+    scoped = scan(
+        F.transform(events, lambda x: F.struct((x["kind"] == SCOPE).cast("long").alias("scope"), x.alias("part"))),
+        lambda a, b: F.struct((a["scope"] + b["scope"]).alias("scope"), b["part"].alias("part")),
+    )
+    place = lambda x, side: x["scope"] * wide + x["part"][side]
+    is_id, is_secret = (lambda x: x["part"]["kind"].isin(1, 3)), (lambda x: x["part"]["kind"].isin(0, 2, 4))
+
+    def extrema(order: Column, side: str, other: Column, pick: Callable) -> Column:
+        """For each part: the extreme place of identifiers and of secrets among it and those before."""
+        own = F.transform(order, lambda x: F.struct(F.when(is_id(x), place(x, side)).otherwise(other).alias("id"), F.when(is_secret(x), place(x, side)).otherwise(other).alias("secret")))
+        return scan(own, lambda a, b: F.struct(pick(a["id"], b["id"]).alias("id"), pick(a["secret"], b["secret"]).alias("secret")))
+
+    def judge(parts: Column, before: Column, behind: Column) -> Column:
+        def near(x: Column, i: Column, kind: str) -> Column:
+            # Neighbours only: the part itself is never its own complement, as its kind differs.
+            ahead = F.get(before, i)[kind] >= F.greatest(x["scope"] * wide, place(x, "start") - REACH)
+            later = F.get(behind, F.size(parts) - 1 - i)[kind] <= F.least(x["scope"] * wide + (1 << 32) - 1, place(x, "end") + REACH)
+            return ahead | later
+
+        def keep(x: Column, i: Column) -> Column:
+            kind = x["part"]["kind"]
+            return F.when(kind == 3, near(x, i, "secret")).when(kind == 4, near(x, i, "id")).when(kind == 5, near(x, i, "id") & near(x, i, "secret")).otherwise(F.lit(False))
+
+        return F.transform(F.filter(parts, keep), lambda x: x["part"])
+
+    return bind(scoped, lambda parts: bind(
+        extrema(parts, "end", none, F.greatest),
+        lambda before: bind(extrema(F.reverse(parts), "start", far, F.least), lambda behind: judge(parts, before, behind)),
+    ))
+
+
+def _scanned(docs: DataFrame, keep: list[Column]) -> DataFrame:
+    """``keep`` (one struct), t, base, weak (reported ones) and counts; a narrow stage."""
     t = F.col("t")
-    d = d.select("doc_id", "row", "t", spans(t, ASSIGN, 0, 1, 6).alias("assign"), spans(t, ACCESS, 1).alias("access"), spans(t, HEX, 2).alias("hex"))
-    d = d.select("*", F.array_sort(F.concat("assign", "access", "hex")).alias("base"))
+    d = docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    d = d.select("keep", "t", spans(t, ASSIGN, 0, 1, 6).alias("assign"), spans(t, ACCESS, 1).alias("access"), spans(t, HEX, 2).alias("hex"))
     any_of = lambda *p: t.rlike("|".join(f"(?:{x})" for x in p))
     has_id = (F.size("access") > 0) | any_of(IDENTIFIER)
     has_secret = (F.size("assign") + F.size("hex") > 0) | any_of(RANDOM)
     weak = F.concat(spans(t, IDENTIFIER, 3), spans(t, RANDOM, 4), spans(t, ENDPOINT, 5))
-    d = d.select("*", F.when(has_id & has_secret, F.array_sort(weak)).alias("weak"))
-    # Only rows with a weak part send parts; the others end here with one row each.
-    cut = F.when(F.size("weak") > 0, F.array_sort(F.concat("base", "weak", spans(t, BREAK, 9))))
-    d = d.select("doc_id", "row", "base", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"), F.size("hex").cast("long").alias("n_hex"), F.monotonically_increasing_id().alias("rid"), cut.alias("events"))
-    head = F.array(F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("kind"), F.lit(-1).alias("end")))
-    e = d.select("rid", F.explode(F.concat(head, F.coalesce("events", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("p"), "doc_id", "row", "base", "n_assign", "n_access", "n_hex")
-    first = F.col("p.kind") == -1
-    whole = F.when(first, F.struct("doc_id", "row", "base", "n_assign", "n_access", "n_hex")).alias("whole")
-    e = e.select("rid", F.col("p.start").alias("start"), F.col("p.kind").alias("kind"), F.col("p.end").alias("end"), whole)
-    order = Window.partitionBy("rid").orderBy("start")
-    e = e.withColumn("scope", F.sum((F.col("kind") == 9).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    near = Window.partitionBy("rid", "scope").orderBy("start").rangeBetween(-REACH, REACH)
-    of = lambda *k: F.max(F.col("kind").isin(*k)).over(near)
-    e = e.withColumn("near_id", of(1, 3)).withColumn("near_secret", of(0, 2, 4))
-    linked = F.when(F.col("kind") == 3, F.col("near_secret")).when(F.col("kind") == 4, F.col("near_id")).when(F.col("kind") == 5, F.col("near_id") & F.col("near_secret"))
-    part = F.when(F.coalesce(linked, F.lit(False)), F.struct("start", "kind", "end"))
-    g = e.groupBy("rid").agg(F.first("whole", ignorenulls=True).alias("whole"), F.collect_list(part).alias("weak"))
-    g = g.select("whole.*", "weak").withColumn("parts", F.array_sort(F.concat("base", "weak")))
-    return g.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("parts")).alias("spans"), F.size("weak").cast("long").alias("n_weak"), "parts", *[F.col("row").getField(c).alias(f"row_{c}") for c in (carry or [])])
+    sort_in = lambda w: F.when(F.size(w) > 0, linked(F.array_sort(F.concat("assign", "access", "hex", w, spans(t, BREAK, SCOPE)))))
+    found = F.when(has_id & has_secret, bind(weak, sort_in))
+    count = lambda c: F.size(c).cast("long").alias(f"n_{c}")
+    base = F.array_sort(F.concat("assign", "access", "hex"))
+    return d.select("keep", "t", base.alias("base"), F.coalesce(found, F.array()).cast(SPANS).alias("weak"), count("assign"), count("access"), count("hex"))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every reported span replaced by ``mark``; n_chars follows the new text.
+def secret_scan(docs: DataFrame) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_weak, parts for every row.
 
-    Spans that touch or overlap become one mark.  Rows without spans stay as they are.
+    ``parts`` is the sorted array of reported spans.
     """
-    scanned = secret_scan(docs, docs.columns)
-    text = F.col("row_text")
+    d = _scanned(docs, [F.col("doc_id").alias("keep")])
+    parts = F.array_sort(F.concat("base", "weak"))
+    return d.select(
+        F.col("keep").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        bind(parts, _listed).alias("spans"), F.size("weak").cast("long").alias("n_weak"), parts.alias("parts"),
+    )
+
+
+def _without(text: Column, parts: Column, mark: str) -> Column:
+    """``text`` with the sorted ``parts`` replaced; parts that touch or overlap become one mark."""
+
+    def cut(chunks: Column, start: Column, stop: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        some = F.array_join(F.slice(chunks, first + 1, F.floor(stop / CHUNK).cast("int") - first + 1), "")
+        return F.substring(some, start - first * CHUNK + 1, stop - start)
 
-    def add(acc: Column, p: Column) -> Column:
-        piece = F.concat(F.substring(text, acc["at"] + 1, p["start"] - acc["at"]), F.lit(mark))
-        out = F.when(p["start"] > acc["at"], F.concat(acc["out"], piece)).when(p["start"] < acc["at"], acc["out"]).otherwise(F.when(acc["at"] == 0, F.lit(mark)).otherwise(acc["out"]))
-        return F.struct(F.greatest(acc["at"], p["end"]).alias("at"), out.alias("out"))
+    def build(p: Column, reach: Column, chunks: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(reach, i - 1), F.lit(0))
+        gaps = F.transform(p, lambda x, i: F.when((i == 0) | (x["start"] > before(i)), cut(chunks, before(i), x["start"])))
+        tail = cut(chunks, F.element_at(reach, -1), F.length(text))
+        return F.array_join(F.concat(F.filter(gaps, lambda g: g.isNotNull()), F.array(tail)), mark)
 
-    built = F.aggregate("parts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    clean = F.when(F.size("parts") > 0, built).otherwise(text)
-    made = {c: F.col(f"row_{c}") for c in docs.columns} | {"text": clean}
+    chunks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+    return bind(parts, lambda p: bind(scan(F.transform(p, lambda x: x["end"]), F.greatest), lambda reach: bind(chunks, lambda c: build(p, reach, c))))
+
+
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every reported span replaced by ``mark``; n_chars follows the new text.
+
+    Rows without spans stay as they are.  Narrow: texts are cut where they stand.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("keep")
+    d = _scanned(docs, [whole]).select("keep", F.array_sort(F.concat("base", "weak")).alias("parts"))
+    old = F.col("keep")
+    # Both columns are named twice below, which keeps the optimizer from computing them once for each use.
+    d = d.select("keep", "parts", F.when(F.size("parts") > 0, _without(old["text"], F.col("parts"), mark)).alias("built"))
+    made = {c: old[c] for c in docs.columns} | {"text": F.coalesce(F.col("built"), old["text"])}
     if "n_chars" in docs.columns:
-        made["n_chars"] = F.when(F.size("parts") > 0, F.length(built).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row_n_chars"))
-    return scanned.select(*[made[c].alias(c) for c in docs.columns])
+        made["n_chars"] = F.coalesce(F.length("built").cast(docs.schema["n_chars"].dataType), old["n_chars"])
+    return d.select(*[made[c].alias(c) for c in docs.columns])
