@@ -6,11 +6,13 @@ with one vectorised comparison.  A document may span any number of blocks: per f
 the blocks' summaries (separators so far, place of the last one) tells where a block's first document
 began and which number it has.
 
-Counting reads every byte once, in blocks of bounded memory, and shuffles one summary a block.
+Counting reads every block twice, in bounded memory: once for its summary (how many documents end in
+it, where the last one does) and, when the scan has told what lies before, for its documents.  Only summaries
+are shuffled: one row a block, whatever the number of documents.
 
 Defined results: an empty document counts 0 tokens; what stands after the last separator is one more
 document, with ``terminated`` false; an empty file has no documents; a size that is no multiple of the id
-width is an error.  Files are written below the shared folder under names of one attempt each, and
+width is an error, as is an id or separator that the width cannot hold.  Files are written below the shared folder under names of one attempt each, and
 only those of finished tasks are listed, so a lost executor leaves no half file in the result.
 Null texts count as empty; repeated ids and rows are counted one by one; other columns are ignored,
 whatever their names.
@@ -37,12 +39,18 @@ def write_files(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, dty
     spark = docs.sparkSession
     where = shared_dir(spark, "tokens")
     with open(vocabulary, "rb") as f:
-        table = spark.sparkContext.broadcast(f.read())
+        raw = f.read()
+    greatest = max(end_id, *(int(line.split()[1]) for line in raw.splitlines() if line))
+    if greatest > np.iinfo(dtype).max:
+        raise ValueError(f"id {greatest} does not fit into {dtype}")
+    if any(int(line.split()[1]) == end_id for line in raw.splitlines() if line):
+        raise ValueError(f"{end_id} is the id of a token and cannot end documents")
+    table = spark.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        enc = _encoder(table.value, pattern)
+        enc = _encoder(table.value, pattern, {})
         store, folder = fs.FileSystem.from_uri(where)
         store.create_dir(folder)
         name, n = f"{uuid.uuid4().hex}.ids", 0
@@ -75,28 +83,42 @@ def count_tokens(files: DataFrame, end_id: int, dtype: str = "<u2", block: int =
                 rows += [(path, k, k * block, size // width) for k in range(-(-size // (block * width)))]
             yield pd.DataFrame(rows, columns=["path", "block", "first", "total"])
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def searched(path: str, first: int, total: int) -> tuple[np.ndarray, bool]:
+        """The ends of the documents that end in a block, and whether the file's last one lacks its separator."""
         from pyarrow import fs
 
+        store, name = fs.FileSystem.from_uri(path)
+        n = min(block, total - first)
+        with store.open_input_file(name) as f:
+            ids = np.frombuffer(f.read_at(n * width, first * width), dtype)
+        ends = np.flatnonzero(ids == end_id) + first
+        open_end = first + n == total and (not len(ends) or ends[-1] != total - 1)
+        return (np.append(ends, total) if open_end else ends), open_end
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for path, k, first, total in b.itertuples(index=False):
-                store, name = fs.FileSystem.from_uri(path)
-                n = min(block, total - first)
-                with store.open_input_file(name) as f:
-                    ids = np.frombuffer(f.read_at(n * width, first * width), dtype)
-                ends = np.flatnonzero(ids == end_id) + first
-                open_end = first + n == total and (not len(ends) or ends[-1] != total - 1)
-                rows.append((path, k, np.append(ends, total) if open_end else ends, total))
-            yield pd.DataFrame(rows, columns=["path", "block", "ends", "total"])
+                ends, _ = searched(path, first, total)
+                rows.append((path, k, first, total, len(ends), int(ends[-1]) if len(ends) else -1))
+            yield pd.DataFrame(rows, columns=["path", "block", "first", "total", "n", "last"])
+
+    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, first, total, seen, carry in b.itertuples(index=False):
+                ends, open_end = searched(path, first, total)
+                start = np.append(carry, ends[:-1]) + 1 if len(ends) else ends
+                done = np.ones(len(ends), bool)
+                done[len(ends) - 1 :] = not open_end
+                yield pd.DataFrame({"path": path, "ordinal": seen + np.arange(len(ends)), "start": start, "n_tokens": ends - start, "terminated": done})
 
     blocks = files.select("path").distinct().mapInPandas(sizes, "path string, block long, first long, total long")
-    found = blocks.repartition("path", "block").mapInPandas(search, "path string, block long, ends array<long>, total long")
+    found = blocks.repartition("path", "block").mapInPandas(summarise, "path string, block long, first long, total long, n long, last long")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    scan = found.select("*", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("seen"), F.coalesce(F.max(F.element_at(F.when(F.size("ends") > 0, F.col("ends")), -1)).over(before), F.lit(-1)).alias("carry"))
-    begin = F.transform("ends", lambda e, i: F.struct((F.coalesce(F.get(F.col("ends"), i - 1), F.col("carry")) + 1).alias("start"), e.alias("end")))
-    docs = scan.select("path", "seen", "total", F.posexplode(begin).alias("i", "d"))
-    return docs.select("path", (F.col("seen") + F.col("i")).alias("ordinal"), F.col("d.start").alias("start"), (F.col("d.end") - F.col("d.start")).alias("n_tokens"), (F.col("d.end") < F.col("total")).alias("terminated"))
+    # Ends grow along a file, so the greatest so far is the last one.
+    carried = found.select("path", "first", "total", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("seen"), F.coalesce(F.max("last").over(before), F.lit(-1)).alias("carry"), "n")
+    dealt = materialize(carried.where("n > 0").drop("n"), "block-carries").repartition("path", "first")
+    return dealt.mapInPandas(documents, "path string, ordinal long, start long, n_tokens long, terminated boolean")
 
 
 def token_counts(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, dtype: str = "<u2", block: int = BLOCK) -> DataFrame:
