@@ -1,19 +1,23 @@
 """Quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded (letter classes, word
-shapes, hashed words; then a learned layer), a gated attention learned from document labels alone
-weighs the passages, and the weighted sum is scored by a logistic layer:
+A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded from its own words
+alone (letter classes, word shapes, repeated words and lines, hashed words; then a learned layer), a
+gated attention learned from document labels alone weighs the passages, and the weighted sum is
+scored by a logistic layer:
 
     h = tanh(W x + b);  a = softmax(w . (tanh(V h) * sigmoid(U h)));  score = sigmoid(c . sum(a h) + d)
 
-Labels are learned only from rows with crc32(doc_id as text) mod 3 <> 1, from at most ``SAMPLE`` of
-them (those of least hash, so the choice is the same at every size).  Passages of that bounded sample reach
-the driver, where the few thousand weights are fitted; scoring reads every whole text in one narrow stage.
+Labels are learned only from rows with crc32(doc_id as text) mod 3 <> 1.  The fit takes a bounded
+sample, the same at every size: the ``SAMPLE`` labels of least hash, one document each, and of a
+document's passages ``BAG`` at most, spread evenly from its start to its end.  These reach
+the driver, where the few thousand weights are fitted; scoring reads every passage of every whole text
+in one narrow stage.
 
 Defined results: null and empty texts are one empty passage and get a score like all others; without
 labels of both kinds the score is the known share of label 1 (0.5 without any).  Labels that are null or whose
-document is missing are left out.  Repeated ids and rows are scored one by one.  Labels, lang, source, doc_id and any further column are never
-inputs of a score.  No rows give no rows.
+document is missing are left out; of several labels of one doc_id the greatest counts, of several
+documents the one of least hash.  Repeated ids and rows are scored one by one.  Labels, lang, source,
+doc_id and any further column are never inputs of a score.  No rows give no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from .common import with_id
 
 PASSAGE = 100
 SAMPLE = 4000
+BAG = 64
 BINS = 64
 HIDDEN = 24
 ATTENTION = 12
@@ -40,7 +45,7 @@ _CLASS[128:192], _CLASS[192:] = len(CLASSES) + 1, len(CLASSES) + 2
 for _k, _c in enumerate(CLASSES):
     _CLASS[list(_c)] = _k
 N_CLASSES = len(CLASSES) + 3
-WIDTH = N_CLASSES + BINS + 7
+WIDTH = N_CLASSES + BINS + 6
 
 
 def passages(text: str) -> np.ndarray:
@@ -61,12 +66,27 @@ def passages(text: str) -> np.ndarray:
     bins = np.bincount(of * BINS + code % BINS, minlength=n * BINS).reshape(n, -1)
     different = np.bincount(np.unique(of << 32 | code) >> 32, minlength=n)
     mean = np.add.reduceat(length, start) / size
-    lines = [x for x in data.split(b"\n") if x.strip()]
-    again = 1 - len(set(lines)) / len(lines)
-    more = np.column_stack([np.log1p(size), mean, np.maximum.reduceat(length, start) ** 0.5, different / size, np.full(n, again), np.full(n, np.log1p(len(words))), np.full(n, len(lines) / len(words))])
+    again, breaks = _line_measures(data, words, n)
+    more = np.column_stack([np.log1p(size), mean, np.maximum.reduceat(length, start) ** 0.5, different / size, again, breaks / size])
     return np.hstack([kinds / np.bincount(byte_of)[:, None], np.sqrt(bins / size[:, None]), more]).astype(np.float32)
 
 
+def _line_measures(data: bytes, words: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each passage: the share of its lines that repeat one of its own, and how many lines end in it."""
+    again, breaks, at = np.zeros(n), np.zeros(n), 0
+    lines: dict[int, list[int]] = {}
+    for line in data.split(b"\n"):
+        k = len(line.split())
+        if k:
+            passage = min(at // PASSAGE, n - 1)
+            at += k
+            breaks[passage] += 1
+            lines.setdefault(passage, []).append(hash(line))
+    for passage, own in lines.items():
+        again[passage] = 1 - len(set(own)) / len(own)
+    return again, breaks
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -74,7 +94,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class AttentionModel:
     """Encoder, gated attention and logistic score over bags of passages."""
 
-    def __init__(self, width: int = WIDTH, seed: int = 7) -> None:
+    def __init__(self, width: int = WIDTH, seed: int = 7, attend: bool = True) -> None:
+        self.attend = attend  # without it passages weigh the same (to tell what attention adds)
         rng = np.random.default_rng(seed)
         init = lambda *s: rng.normal(0, 1 / np.sqrt(s[0]), s)
         self.p = {"W": init(width, HIDDEN), "b": np.zeros(HIDDEN), "V": init(HIDDEN, ATTENTION), "U": init(HIDDEN, ATTENTION), "w": init(ATTENTION), "c": init(HIDDEN), "d": np.zeros(1)}
@@ -87,7 +108,7 @@ class AttentionModel:
         x = (x - self.mean) / self.std
         h = np.tanh(x @ p["W"] + p["b"])
         t, g = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
-        e = (t * g) @ p["w"]
+        e = (t * g) @ p["w"] if self.attend else np.zeros(len(x))
         e = np.exp(e - np.maximum.reduceat(e, start)[of])
         a = e / np.add.reduceat(e, start)[of]
         z = np.add.reduceat(a[:, None] * h, start)
@@ -98,7 +119,7 @@ class AttentionModel:
         dy = (f["y"] - y) / len(y)
         dz = dy[:, None] * p["c"]
         da = (dz[of] * f["h"]).sum(1)
-        de = f["a"] * (da - np.add.reduceat(f["a"] * da, start)[of])
+        de = self.attend * f["a"] * (da - np.add.reduceat(f["a"] * da, start)[of])
         dtg = de[:, None] * p["w"]
         dt, dg = dtg * f["g"] * (1 - f["t"] ** 2), dtg * f["t"] * f["g"] * (1 - f["g"])
         dh = f["a"][:, None] * dz[of] + dt @ p["V"].T + dg @ p["U"].T
@@ -141,19 +162,24 @@ def _held_out(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> AttentionModel:
-    """Fit on at most ``sample`` labelled documents outside the held-out third."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, bag: int = BAG, attend: bool = True) -> AttentionModel:
+    """Fit on at most ``sample`` labelled documents outside the held-out third, ``bag`` passages each."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label")).where(~_held_out())
-    few = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t")).join(F.broadcast(few), "doc_id")  # few: bounded by sample
+    few = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("t")).join(F.broadcast(few), "doc_id")  # few: bounded by sample
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("t", F.xxhash64("t")).alias("t"))  # at most sample rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype(str), "label": b["label"], "x": [passages(t).tobytes() for t in b["t"]]})
+            bags = [passages(t) for t in b["t"]]
+            some = [x[np.unique(np.linspace(0, len(x) - 1, bag).astype(int))] for x in bags]
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype(str), "label": b["label"], "x": [x.tobytes() for x in some]})
 
-    got = sorted(rows.select("doc_id", "label", "t").mapInPandas(run, "doc_id string, label int, x binary").toLocalIterator(), key=lambda r: (r["doc_id"], r["label"], bytes(r["x"])))
-    bags = [np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, WIDTH) for r in got[: 2 * sample]]
-    return AttentionModel().fit(bags, np.array([r["label"] for r in got[: 2 * sample]], float))
+    got = rows.mapInPandas(run, "doc_id string, label int, x binary").toLocalIterator()
+    got = sorted(got, key=lambda r: r["doc_id"])
+    bags = [np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, WIDTH) for r in got]
+    return AttentionModel(attend=attend).fit(bags, np.array([r["label"] for r in got], float))
 
 
 def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
