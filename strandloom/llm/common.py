@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests, local mode) a folder of this machine is set.
+    Only where the session names none and runs on this machine alone a folder of this machine is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/strandloom/{tag}-{uuid.uuid4().hex}"
@@ -33,30 +35,38 @@ def with_id(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def remove(df: DataFrame) -> None:
-    """Delete the files that a materialized frame reads, once nothing reads them any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
+def remove(*frames: DataFrame) -> None:
+    """Delete the files that materialized frames read, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(conf).delete(path, True)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, heavy: int = 512) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long); component is the least node.
 
     Alternates large-star and small-star steps: each round is two shuffles of the edge list, the
-    number of rounds is logarithmic, and no list of neighbours is ever collected.  Each round's
+    number of rounds is logarithmic, and no list of neighbours is ever collected.  Least neighbours
+    are found by an aggregate that combines before it shuffles.  A hub's edges are not gathered to
+    learn them: nodes with more than 1/``heavy`` of the edges (so at most 2 * ``heavy`` of them) are
+    looked up in a broadcast of that bounded size, the others meet by shuffle.  Each round's
     edges go to the shared folder.  Loops and repeated edges are allowed; no rows give no rows.
     """
     cur = materialize(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "cc"
     )
+    rows = cur.count()
 
-    def step(e: DataFrame, large: bool) -> DataFrame:
+    def step(e: DataFrame, large: bool, most: int) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        joined = both.join(low, "a")
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree")).select("a", F.least("a", "m").alias("m"), "degree")
+        hubs = F.broadcast(low.where(F.col("degree") > most).select("a", F.col("m").alias("hub")))
+        told = both.join(hubs, "a", "left")
+        usual = told.where("hub IS NULL").drop("hub").join(low.where(F.col("degree") <= most).select("a", "m"), "a")
+        joined = usual.select("a", "b", "m").union(told.where("hub IS NOT NULL").select("a", "b", "hub"))
         if large:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         hub = low.where("m < a").select("a", F.col("m").alias("b"))
@@ -64,11 +74,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return hub.union(rest).where("a <> b").distinct()
 
     for _ in range(max_rounds):
-        nxt = materialize(step(step(cur, True), False), "cc")
+        most = max(1000, rows // heavy)
+        wide = materialize(step(cur, True, most), "cc")
+        nxt = materialize(step(wide, False, most), "cc")
         rows, tails = nxt.agg(F.count("*"), F.count_distinct("a")).first()
         # Done when each node points at one other, and that one at none: then it is the least.
-        done = rows == tails and not nxt.join(nxt.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
-        remove(cur)
+        done = rows == tails and not nxt.select("b").distinct().join(nxt.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
+        remove(cur, wide)
         cur = nxt
         if done:
             break

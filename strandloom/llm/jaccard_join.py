@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, with_id
+from .common import connected_components, materialize, remove, with_id
 
 WORDS = 5
 CHUNK_BITS = 13  # documents in a chunk: 2**13
@@ -324,8 +324,11 @@ def components(docs: DataFrame, bucket: int = BUCKET, block: int = BLOCK) -> Dat
     least = shared.groupBy("h").agg(F.min("key").alias("b"), F.count("*").alias("c")).where("c > 1").select("h", "b")
     coarse = connected_components(shared.join(least, "h").where("key <> b").select(F.col("key").alias("a"), "b").distinct())
     wanted = coarse.select(F.col("node").alias("key"), "component").join(sig.select("key", "tag", "digest"), "key")
-    members = materialize(_fetch(docs, materialize(wanted, "wanted")), "members")
-    linked = connected_components(_links(members, block)).select(F.col("node").alias("rep"), F.col("component").alias("head"))
+    wanted = materialize(wanted, "wanted")
+    members = materialize(_fetch(docs, wanted), "members")
+    linked = connected_components(_links(members, block))
+    remove(shared, wanted, members, coarse)
+    linked = linked.select(F.col("node").alias("rep"), F.col("component").alias("head"))
     # Copies: only groups of two or more and linked ones are joined, the copies dealt over salts.
     known = reps.join(linked, "rep", "left").where("copies > 1 OR head IS NOT NULL").select("digest", F.coalesce("head", "rep").alias("head"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
@@ -347,10 +350,15 @@ def jaccard_join(docs: DataFrame, bucket: int = BUCKET, block: int = BLOCK) -> D
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component (least doc_id, then first read); all columns kept."""
     rows = materialize(components(docs), "components")
-    drop = rows.groupBy("head").agg(F.min_by("key", F.struct("doc_id", "key")).alias("stay"), F.count("*").alias("c")).where("c > 1")
-    gone = rows.join(drop, "head").where("key <> stay").select("tag").groupBy("tag").count()
-    stay = rows.join(drop, "head").where("key = stay").select("tag").distinct()
+    # Heads of single rows never meet another row; of the others the counts combine before they move.
+    groups = rows.groupBy("head").agg(F.min_by("key", F.struct("doc_id", "key")).alias("stay"), F.count("*").alias("c")).where("c > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    placed = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(groups.select("head", "stay", salts), ["head", "salt"])
+    # Rows that repeat id and text are settled by exact_dedup.keep_one, not here: they stay or go together.
+    ids = placed.groupBy("doc_id", "tag").agg(F.max(F.col("key") == F.col("stay")).alias("stays")).where("NOT stays")
+    gone = ids.select(F.col("doc_id").alias("gone_id"), "tag")
     text = F.coalesce(F.col("text"), F.lit(""))
-    # Rows that repeat id and text share a tag: they are settled by exact_dedup.keep_one, not here.
-    out = gone.join(stay, "tag", "left_anti").select(F.col("tag").alias("__tag"))
-    return docs.withColumn("__tag", F.xxhash64(text, "doc_id")).join(out, "__tag", "left_anti").drop("__tag")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(text, "doc_id").alias("own_tag"))
+    # The tag alone could be that of another document; with the id it is not.
+    kept = whole.join(gone, (F.col("own_tag") == F.col("tag")) & F.col("own_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
