@@ -7,7 +7,8 @@ Three stages, each comparing the full content and not only its digest:
 3. global: the salt winners, ``salts`` rows a text at most, meet by digest.
 
 Defined results: a null text equals an empty one; of equal texts the row with the largest doc_id
-stays (null ids are the smallest); of rows that repeat that doc_id too, exactly one stays.  No rows give no rows.
+stays (null ids are the smallest); of rows that repeat that doc_id too, exactly one stays, a text rather
+than a null.  Rows that repeat one id share a salt, and merge locally before they move.  No rows give no rows.
 Other input columns are ignored whatever their names.  Two different contents under one SHA-256
 digest end the job with an error instead of being merged.
 """
@@ -24,9 +25,13 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def _salt(salts: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt")
+
+
 def _base(docs: DataFrame, salts: int, digest) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), digest(text).alias("digest"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    return docs.select("doc_id", text.alias("text"), digest(text).alias("digest"), _salt(salts))
 
 
 def classes(docs: DataFrame, salts: int = SALTS, digest=_digest) -> DataFrame:
@@ -56,17 +61,18 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS, digest=_digest) -> DataFram
 
 def keep_one(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """``docs`` with one whole row of each text: the winner of :func:`exact_dedup`, all columns kept."""
-    rest = [c for c in docs.columns if c != "text"]
     text = F.coalesce(F.col("text"), F.lit(""))
+    rest = [c for c in docs.columns if c != "text"]
+    # Of rows with one id a text comes before a null; then a hash of the rest decides.
+    rank = F.struct(F.col("doc_id").alias("id"), F.col("text").isNotNull().alias("whole"), F.xxhash64(*[F.col(f"`{c}`") for c in rest]).alias("tie"))
     packed = docs.select(
-        text.alias("text"), _digest(text).alias("digest"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
-        F.struct(F.col("doc_id").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in rest]).alias("tie")).alias("rank"),
-        F.struct(*[F.col(f"`{c}`") for c in rest], F.col("text").isNull().alias("__null_text")).alias("row"),
+        text.alias("text"), _digest(text).alias("digest"), _salt(salts), rank.alias("rank"),
+        F.struct(F.col("text").isNull().alias("null"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")).alias("row"),
     )
     best = [F.max_by("row", "rank").alias("row"), F.max("rank").alias("rank")]
     won = packed.groupBy("digest", "salt", "text").agg(*best).groupBy("digest", "text").agg(*best)
-    body = F.when(~F.col("row.__null_text"), F.col("text"))
-    return won.select(*[(body if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    body = F.when(~F.col("row.null"), F.col("text"))
+    return won.select(*[(body if c == "text" else F.col("row.rest").getField(c)).alias(c) for c in docs.columns])
 
 
 ORACLE = """
