@@ -3,16 +3,18 @@
 Rows close on the curve are close in every dimension, so each shard (a run of the curve) covers a
 small box of the metadata space, and a filter on any dimension skips the shards whose box misses it.
 
-Numeric dimensions are cut at equal-depth quantiles taken over all rows; text dimensions are hashed
-to the same number of cells, which prunes equality filters.  Texts never move: only ids, sizes,
+Numeric dimensions are cut at equal-depth quantiles taken over all rows; text dimensions in the order of
+their values at the same depths (a value with many rows takes the cells it fills), so neighbouring cells
+hold neighbouring values and range filters prune as well as equality.  Texts never move: only ids, sizes,
 checksums and curve indexes are sorted.  The rank of a row is its partition's offset plus its place
 there, so no task or driver ever holds more than a range of the curve, and a cell with a third of
 all rows is spread by the further sort keys (checksum, id, place of reading).
 
+As doc_id is a dimension, rows with equal texts may lie in different shards.
+
 Law ``rows``: shard s holds ranks [ceil(s*n/S), ceil((s+1)*n/S)), so counts differ by one at most.
 
-Defined results: a null text has no bytes; null metadata is a cell of its own (text) or the
-lowest cell (numbers); ties of the curve index follow checksum and id; repeated rows are placed one by one; an empty
+Defined results: a null text has no bytes; null metadata is in the lowest cell; ties of the curve index follow checksum and id; repeated rows are placed one by one; an empty
 table gives no rows.  Columns that are not dimensions are ignored, whatever their names.
 """
 
@@ -56,6 +58,7 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _cells(frame: DataFrame, dims: tuple[str, ...], bits: int) -> list[Column]:
+    """The cell of each dimension: the share of rows before the value, in steps of 1 / 2**bits."""
     kinds = {c: frame.schema[c].dataType for c in dims}
     numbers = [c for c in dims if isinstance(kinds[c], T.NumericType)]
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
@@ -63,16 +66,39 @@ def _cells(frame: DataFrame, dims: tuple[str, ...], bits: int) -> list[Column]:
 
     def cell(c: str) -> Column:
         if c not in numbers:
-            return F.pmod(F.xxhash64(F.col(c)), F.lit(1 << bits)).cast("int")
+            first = _text_cuts(frame, c, 1 << bits)
+            at, depth = np.array([v for v, _ in first], dtype=object), np.array([0] + [k for _, k in first])
+            return _place(at, depth)(F.coalesce(F.col(c).cast("string"), F.lit("")))
         at = np.array(cuts[c] or [], dtype=float)
+        return _place(at, np.arange(len(at) + 1))(F.coalesce(F.col(c), F.lit(int(at[0]) - 1 if len(at) else 0)).cast("double"))
+
+    return [cell(c) for c in dims]
 
-        @F.pandas_udf("int")
-        def place(v: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(at, v.to_numpy(float), side="right"))
 
-        return place(F.coalesce(F.col(c), F.lit(int(at[0]) - 1 if len(at) else 0)).cast("double"))
+def _place(cuts: np.ndarray, cell: np.ndarray):
+    @F.pandas_udf("int")
+    def place(v: pd.Series) -> pd.Series:
+        return pd.Series(cell[np.searchsorted(cuts, v.to_numpy(cuts.dtype), side="right")])
 
-    return [cell(c) for c in dims]
+    return place
+
+
+def _text_cuts(frame: DataFrame, c: str, cells: int) -> list[tuple[str, int]]:
+    """The first value of each cell, at most ``cells`` of them: a value's cell is the share of rows before it.
+
+    Values are counted over all rows; the running share is taken by ranges of values, so neither a
+    task nor the driver holds more than ``cells`` of them.
+    """
+    counted = frame.groupBy(F.coalesce(F.col(c).cast("string"), F.lit("")).alias("v")).agg(F.count("*").alias("n"))
+    ranged = counted.repartitionByRange("v").sortWithinPartitions("v").select("v", "n", F.spark_partition_id().alias("part"))
+    ranged = materialize(ranged, "shard-values")
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("sum"))  # one row a partition
+    before = F.coalesce(F.sum("sum").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("part", before.alias("before"), F.sum("sum").over(Window.partitionBy()).alias("total"))
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.col("before")
+    cell = F.floor((F.col("upto") - F.col("n")) * cells / F.col("total")).cast("int")
+    first = ranged.join(sums, "part").select("v", "n", "total", running.alias("upto")).groupBy(cell.alias("cell")).agg(F.min("v").alias("v"))
+    return sorted((r.v, r.cell) for r in first.collect())
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 8, dims: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
