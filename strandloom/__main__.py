@@ -42,7 +42,14 @@ def validate_bed(spark, a):
 
 
 def gff2bigg(spark, a):
-    t = bed.parse_annotation(spark.read.text(a.refs), a.gene_key).where("error IS NULL")
+    rows = bed.parse_annotation(spark.read.text(a.refs), a.gene_key)
+    bad = rows.where("error IS NOT NULL").select("name", "error")
+    first = bad.head()
+    if first and not a.lenient:
+        raise SystemExit(f"{a.refs}: {first.name}: {first.error}")
+    if first:
+        sinks.tsv(bad, f"{a.out}.rejected", ["name"])
+    t = rows.where("error IS NULL")
     full = t.withColumns({"score": F.lit(0), "thick_start": F.col("tx_start"), "thick_end": F.col("tx_end"), "item_rgb": F.lit("0")})
     full = full.withColumns({c: F.lit("none") for c in bed.EXTRA if c != "gene_id"}).withColumn("n_extra", F.lit(8))
     bed.format_bed(full).write.mode("overwrite").text(a.out)
@@ -103,13 +110,14 @@ def count_multi(spark, a):
 
 def desc(spark, a):
     t, refs = _tracks(spark, a.reads), _tracks(spark, a.refs)
-    sinks.tsv(description.classify(description.nearest_reference(t, refs)), f"{a.out}/classes", ["isoform_id", "gene"])
-    sinks.tsv(description.fusions(t, refs), f"{a.out}/fusions", ["isoform_id"])
+    out = description.report(t, refs)
+    for name, order in (("described", ["isoform_id", "gene"]), ("classes", ["isoform_id"]), ("fusions", ["isoform_id"])):
+        sinks.tsv(out[name], f"{a.out}/{name}", order)
 
 
 def full_flow(spark, a):
     out = flow.run(_samples(spark, a.reads), _tracks(spark, a.refs), flow.Options(site_support=a.support, site_reach=a.reach, junction_offset=a.offset))
-    for name, order in (("unique", ["read_id"]), ("unused", ["read_id"]), ("counts", ["gene", "isoform_id"]), ("classes", ["isoform_id"]), ("fusions", ["isoform_id"]), ("usage", ["gene", "isoform_id", "sample"])):
+    for name, order in (("unique", ["read_id"]), ("unused", ["read_id"]), ("counts", ["gene", "isoform_id"]), ("described", ["isoform_id", "gene"]), ("classes", ["isoform_id"]), ("fusions", ["isoform_id"]), ("usage", ["gene", "isoform_id", "sample"])):
         sinks.tsv(out[name], f"{a.out}/{name}", order)
 
 

@@ -2,8 +2,12 @@
 
 Splice sites get weighted support and weak ones snap to a strong neighbour; corrected reads with one
 structure become one row; a structure merges into every structure that holds it (the same sites, or its
-sites are the 3' end of a longer chain).  Containers are found by joining a chain with the suffixes of others, never by
-comparing all pairs of a locus, so nothing that grows with a locus is gathered in one task.
+sites are the 3' end of a longer chain).
+
+No step compares all pairs of a locus or of an equal chain.  First each structure only asks whether any
+other may hold it: against the greatest of its chain, against the chains of which its own is a suffix, or
+(where supported ends keep structures apart) against distinct end places within reach.  Then those that
+are held are joined with the structures that stay, which is as many rows as the mapping has.
 
 The result is order-free: structures without a container and all references stay, and a read belongs
 to every stayed structure that holds its own.
@@ -12,7 +16,9 @@ to every stayed structure that holds its own.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,11 +30,20 @@ LOCUS = ["chrom", "strand", "locus_start"]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder: what several later steps read is computed once."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandloom-"))
-    return df.checkpoint()
+    """What several later steps read, written as Parquet to the shared folder and computed once.
+
+    On a cluster the session names that folder (``spark.checkpoint.dir``); only a local session gets one of its own.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="strandloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/strandloom/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def site_support(tracks: DataFrame, ref_weight: int = 5, read_weight: int = 1) -> DataFrame:
@@ -91,38 +106,6 @@ def structures(tracks: DataFrame) -> DataFrame:
     return tracks.withColumn("chain", chain).groupBy(*key).agg(F.count("*").alias("members"), best)
 
 
-def containers(chains: DataFrame) -> DataFrame:
-    """(a, b, same): the junctions of spliced structure ``a`` are the 3' end of those of ``b``, or the same.
-
-    ``chains``: id, chrom, strand, locus_start, junctions (transcript order), length, is_ref. Each chain
-    lists its suffixes once, and an equality join on the suffix finds what it holds.
-    """
-    key = ["chrom", "strand", "locus_start", "chain"]
-    chains = chains.where(F.size("junctions") > 0)
-    tails = F.explode(F.transform(F.sequence(F.lit(1), F.size("junctions")), lambda i: F.struct((i == 1).alias("whole"), F.array_join(F.slice("junctions", i, F.size("junctions")), ",").alias("chain"))))
-    long = chains.select("chrom", "strand", "locus_start", F.col("id").alias("b"), F.col("length").alias("b_length"), F.col("is_ref").alias("b_ref"), tails.alias("t"))
-    long = long.select("chrom", "strand", "locus_start", "b", "b_length", "b_ref", F.col("t.whole").alias("whole"), F.col("t.chain").alias("chain"))
-    short = chains.where("NOT is_ref").select("chrom", "strand", "locus_start", F.col("id").alias("a"), F.col("length").alias("a_length"), F.array_join("junctions", ",").alias("chain"))
-    larger = F.col("b_ref") | ~F.col("whole") | (F.col("b_length") > F.col("a_length")) | ((F.col("b_length") == F.col("a_length")) & (F.col("b") < F.col("a")))
-    return short.join(long, key).where((F.col("a") != F.col("b")) & larger).select("a", "b", F.col("whole").alias("same"))
-
-
-def single_exon_containers(tracks: DataFrame) -> DataFrame:
-    """(a, b): single exon ``a`` lies within single exon ``b``, or beyond the last junction of spliced ``b``."""
-    from .interval import overlap_join
-
-    last = F.element_at(G.junction_positions("exons", "strand"), -1)
-    zone = F.when(F.size("exons") == 1, G.interval(F.col("tx_start"), F.col("tx_end"))).when(F.col("strand") == "+", G.interval(last, F.col("tx_end"))).when(F.col("strand") == "-", G.interval(F.col("tx_start"), last))
-    key = ["chrom", "strand", "locus_start"]
-    b = tracks.select(*key, F.col("id").alias("b"), F.size("exons").alias("n"), F.col("is_ref").alias("b_ref"), zone.alias("z")).select(*key, "b", "n", "b_ref", F.col("z.start").alias("b_start"), F.col("z.end").alias("b_end"))
-    a = tracks.where((F.size("exons") == 1) & ~F.col("is_ref")).select(*key, F.col("id").alias("a"), F.col("tx_start").alias("a_start"), F.col("tx_end").alias("a_end"))
-    within = (F.col("b_start") <= F.col("a_start")) & (F.col("a_end") <= F.col("b_end"))
-    same = (F.col("b_start") == F.col("a_start")) & (F.col("a_end") == F.col("b_end"))
-    strict = (F.col("b_start") < F.col("a_start")) & (F.col("a_end") < F.col("b_end"))
-    plain = (same & (F.col("b_ref") | (F.col("b") < F.col("a")))) | (strict & (F.col("strand") != "."))
-    return overlap_join(a, b, key).where((F.col("a") != F.col("b")) & F.when(F.col("n") == 1, plain).otherwise(within)).select("a", "b", F.lit(False).alias("same"))
-
-
 @dataclass(frozen=True)
 class Ends:
     """When a well supported end keeps a read apart from a container that ends elsewhere.
@@ -141,6 +124,114 @@ class Ends:
     five_offset: int = 15
 
 
+PLACE = ["chrom", "strand", "locus_start"]
+
+
+def _suffixes(junctions: str, first: int) -> Column:
+    """Rows of (whole, chain): the chain without its first junctions, from ``first`` (1: the whole) on."""
+    n = F.size(junctions)
+    # A chain too short for any such suffix gives none; a sequence would count down.
+    steps = F.when(n >= first, F.sequence(F.lit(first), F.greatest(n, F.lit(first)))).otherwise(F.array().cast("array<int>"))
+    return F.explode(F.transform(steps, lambda i: F.struct((i == 1).alias("whole"), F.array_join(F.slice(junctions, i, n), ",").alias("chain"))))
+
+
+def _near(a: DataFrame, places: DataFrame, keys: list[str], reach: dict[str, int]) -> DataFrame:
+    """``a`` joined with ``places`` of equal ``keys`` whose columns p_* lie within ``reach``, by bins of that width."""
+    for c, most in reach.items():
+        at = F.floor(F.col(c) / (most + 1))
+        a = a.withColumn(f"bin_{c}", F.explode(F.array(at - 1, at, at + 1)))
+        places = places.withColumn(f"bin_{c}", F.floor(F.col(f"p_{c}") / (most + 1)))
+    j = a.join(places, [*keys, *[f"bin_{c}" for c in reach]])
+    for c, most in reach.items():
+        j = j.where(F.abs(F.col(c) - F.col(f"p_{c}")) <= most)
+    return j
+
+
+def held_spliced(nodes: DataFrame, ends: Ends) -> DataFrame:
+    """id of every spliced structure that another one may hold.
+
+    ``nodes``: id, chrom, strand, locus_start, junctions (transcript order), length, is_ref, and the places
+    and supports of both ends.  References are never held.  Of equal chains the larger one holds: a
+    reference, else the longer, else the lesser id.
+    """
+    key = [*PLACE, "chain"]
+    n = nodes.where(F.size("junctions") > 0).withColumn("chain", F.array_join("junctions", ","))
+    n = n.withColumn("rank", F.struct((~F.col("is_ref")).alias("own"), (-F.col("length")).alias("size"), "id"))
+    firm = F.col("is_ref") | (F.col("three_n") >= ends.three_support)
+    small = n.where("NOT is_ref").withColumn("keeps_three", F.col("three_n") >= ends.three_support).withColumn("keeps_five", F.col("five_n") >= ends.five_support)
+    small = small.select("id", "rank", *key, "three", "five", "keeps_three", "keeps_five")
+    found, leaders = [], ends.leader_score >= 0  # without leaders no 5' end has support
+    # Equal chains: the greatest at each place that the kept ends of the smaller one allow.
+    for three in (False, True):
+        for five in (False, True) if leaders else (False,):
+            reach = ({"three": ends.three_offset} if three else {}) | ({"five": ends.five_offset_same} if five else {})
+            best = n.where(firm if three else F.lit(True)).groupBy(*key, *[F.col(c).alias(f"p_{c}") for c in reach]).agg(F.min("rank").alias("best"))
+            some = small.where((F.col("keeps_three") == three) & (F.col("keeps_five") == five))
+            found.append(_near(some, best, key, reach).where(F.col("best") < F.col("rank")).select("id"))
+    # Longer chains that end in this one.
+    tails = n.select(*PLACE, F.col("five").alias("p_five"), _suffixes("junctions", 2).alias("t")).select(*PLACE, "p_five", F.col("t.chain").alias("chain"))
+    found.append(small.where("NOT keeps_five").join(tails.select(*key).distinct(), key, "left_semi").select("id"))
+    if leaders:
+        found.append(_near(small.where("keeps_five"), tails.distinct(), key, {"five": ends.five_offset}).select("id"))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def spliced_containers(small: DataFrame, large: DataFrame) -> DataFrame:
+    """(a, b, same): the junctions of ``a`` (of ``small``) are the 3' end of those of ``b`` (of ``large``), or the same."""
+    key = [*PLACE, "chain"]
+    tails = large.where(F.size("junctions") > 0).select(*PLACE, F.col("id").alias("b"), F.col("length").alias("b_length"), F.col("is_ref").alias("b_ref"), _suffixes("junctions", 1).alias("t"))
+    tails = tails.select(*PLACE, "b", "b_length", "b_ref", F.col("t.whole").alias("whole"), F.col("t.chain").alias("chain"))
+    short = small.where((F.size("junctions") > 0) & ~F.col("is_ref")).select(*PLACE, F.col("id").alias("a"), F.col("length").alias("a_length"), F.array_join("junctions", ",").alias("chain"))
+    larger = F.col("b_ref") | ~F.col("whole") | (F.col("b_length") > F.col("a_length")) | ((F.col("b_length") == F.col("a_length")) & (F.col("b") < F.col("a")))
+    return short.join(tails, key).where((F.col("a") != F.col("b")) & larger).select("a", "b", F.col("whole").alias("same"))
+
+
+def _zones(tracks: DataFrame) -> DataFrame:
+    """Where a track may hold a single exon: its own span, or beyond its last junction."""
+    last = F.element_at(G.junction_positions("exons", "strand"), -1)
+    zone = F.when(F.size("exons") == 1, G.interval(F.col("tx_start"), F.col("tx_end"))).when(F.col("strand") == "+", G.interval(last, F.col("tx_end"))).when(F.col("strand") == "-", G.interval(F.col("tx_start"), last))
+    z = tracks.select(*PLACE, F.col("id").alias("b"), (F.size("exons") == 1).alias("b_single"), F.col("is_ref").alias("b_ref"), zone.alias("z"))
+    return z.select(*PLACE, "b", "b_single", "b_ref", F.col("z.start").alias("b_start"), F.col("z.end").alias("b_end")).where("b_start IS NOT NULL")
+
+
+def _single(tracks: DataFrame) -> DataFrame:
+    return tracks.where((F.size("exons") == 1) & ~F.col("is_ref")).select(*PLACE, F.col("id").alias("a"), F.col("tx_start").alias("a_start"), F.col("tx_end").alias("a_end"))
+
+
+def held_single(nodes: DataFrame) -> DataFrame:
+    """id of every single exon that another structure may hold: one running maximum of ends over starts.
+
+    Single exons hold what lies strictly inside them (on a known strand) and equal spans of greater id; the
+    zone behind a last junction holds what it covers.
+    """
+    zones, a = _zones(nodes), _single(nodes)
+    of_single = zones.where("b_single AND strand <> '.'").groupBy(*PLACE, "b_start").agg(F.max("b_end").alias("inner"))
+    of_zone = zones.where("NOT b_single").groupBy(*PLACE, "b_start").agg(F.max("b_end").alias("outer"))
+    marks = of_single.select(*PLACE, F.col("b_start").alias("at"), F.lit(2).alias("turn"), "inner", F.lit(None).cast("long").alias("outer"))
+    marks = marks.unionByName(of_zone.select(*PLACE, F.col("b_start").alias("at"), F.lit(0).alias("turn"), F.lit(None).cast("long").alias("inner"), "outer"))
+    asked = a.select(*PLACE, F.col("a_start").alias("at"), "a_end").distinct().withColumn("turn", F.lit(1))
+    # At one start zones come before the question and single exons behind it, since those must start earlier.
+    run = Window.partitionBy(*PLACE).orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    told = marks.unionByName(asked, allowMissingColumns=True).withColumn("inner", F.max("inner").over(run)).withColumn("outer", F.max("outer").over(run))
+    within = told.where("turn = 1 AND (inner > a_end OR outer >= a_end)").select(*PLACE, F.col("at").alias("a_start"), "a_end")
+    covered = a.join(within, [*PLACE, "a_start", "a_end"], "left_semi").select(F.col("a").alias("id"))
+    equal = zones.where("b_single").groupBy(*PLACE, F.col("b_start").alias("a_start"), F.col("b_end").alias("a_end")).agg(F.min(F.struct((~F.col("b_ref")).alias("own"), F.col("b").alias("id"))).alias("first"))
+    same = a.join(equal, [*PLACE, "a_start", "a_end"]).where("NOT first.own OR first.id < a").select(F.col("a").alias("id"))
+    return covered.unionByName(same).distinct()
+
+
+def single_containers(small: DataFrame, large: DataFrame) -> DataFrame:
+    """(a, b, same): single exon ``a`` of ``small`` lies in the zone of ``b`` of ``large``, as :func:`held_single` has it."""
+    from .interval import overlap_join
+
+    within = (F.col("b_start") <= F.col("a_start")) & (F.col("a_end") <= F.col("b_end"))
+    same = (F.col("b_start") == F.col("a_start")) & (F.col("a_end") == F.col("b_end"))
+    strict = (F.col("b_start") < F.col("a_start")) & (F.col("a_end") < F.col("b_end"))
+    plain = (same & (F.col("b_ref") | (F.col("b") < F.col("a")))) | (strict & (F.col("strand") != "."))
+    pairs = overlap_join(_single(small), _zones(large), PLACE)
+    return pairs.where((F.col("a") != F.col("b")) & F.when(F.col("b_single"), plain).otherwise(within)).select("a", "b", F.lit(False).alias("same"))
+
+
 def _apart(nodes: DataFrame, edges: DataFrame, ends: Ends) -> DataFrame:
     """``edges`` without those that a protected end of ``a`` forbids."""
     cols = ("is_ref", "three", "three_n", "five", "five_n")
@@ -153,14 +244,17 @@ def _apart(nodes: DataFrame, edges: DataFrame, ends: Ends) -> DataFrame:
     return j.where(~three & ~five).select("a", "b")
 
 
-def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends = Ends()) -> tuple[DataFrame, DataFrame, DataFrame]:
+def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(isoforms, mapping, unused) of reads and references (name, chrom, strand, tx_start, tx_end, exons, gene_id, score).
 
     Loci without a reference are unused, and so are reads with a site that no strong site is near.
+    Unless ``ends`` says otherwise, 3' ends are counted within ``reach``.
     """
+    ends = Ends(three_reach=reach) if ends is None else ends
     cols = ["name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score"]
     both = reads.select(*cols, F.lit("read").alias("source")).unionByName(refs.select(*cols, F.lit("reference").alias("source")))
-    both = cut(both.withColumn("instance_id", F.xxhash64("source", "name", F.to_json("exons"))).dropDuplicates(["instance_id"]))
+    both = both.dropDuplicates(["source", "name", "chrom", "strand", "exons"])
+    both = cut(both.withColumn("instance_id", F.monotonically_increasing_id()))
     fixed = cut(correct_reads(both, least, reach).drop("locus_start"))
     kept = cut(loci(fixed.where("NOT rare"), ["chrom", "strand"]))
     anchored = kept.join(kept.where("source = 'reference'").select(*LOCUS).distinct(), LOCUS, "left_semi")
@@ -177,9 +271,10 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     t = cut(t)
     nodes = t.groupBy("id").agg(F.max_by(F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref", "three", "three_n", "five", "five_n"), F.struct("score", "name")).alias("n")).select("id", "n.*").withColumn("length", G.total("exons"))
     nodes = cut(nodes)
-    edges = cut(_apart(nodes, containers(nodes).unionByName(single_exon_containers(nodes)), ends).distinct())
-    roots = nodes.join(edges.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
-    homes = edges.join(roots.select(F.col("id").alias("b")), "b").unionByName(roots.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    held = cut(held_spliced(nodes, ends).unionByName(held_single(nodes)))
+    roots, small = nodes.join(held, "id", "left_anti"), nodes.join(held, "id", "left_semi")
+    edges = _apart(nodes, spliced_containers(small, roots).unionByName(single_containers(small, roots)), ends).distinct()
+    homes = edges.unionByName(roots.select(F.col("id").alias("a"), F.col("id").alias("b")))
     title = F.when(F.col("is_ref"), F.col("name")).otherwise(G.structural_id(F.coalesce("gene_id", F.lit("none")), F.col("chrom"), F.col("strand"), F.col("exons")))
     isoforms = roots.withColumn("isoform_id", title)
     mapping = t.where("NOT is_ref").select(F.col("name").alias("read_id"), F.col("id").alias("a")).join(homes, "a").join(isoforms.select(F.col("id").alias("b"), "isoform_id"), "b").select("read_id", "isoform_id").distinct()

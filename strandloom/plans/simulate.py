@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..sources.tables import EXPLICIT, IMPLICIT, UNKNOWN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +57,10 @@ def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls: sample, read_id, site, probability, state; a read belongs to isoform user_id % 12 of gene user_id % 6."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    state = F.when(F.col("event_id") % 7 == 0, "implicit").when(F.col("event_id") % 11 == 0, "unknown").otherwise("explicit")
+    state = F.when(F.col("event_id") % 7 == 0, IMPLICIT).when(F.col("event_id") % 11 == 0, UNKNOWN).otherwise(EXPLICIT)
     return e.select(
         (F.col("event_id") % 4).alias("sample"), F.col("event_id").alias("read_id"), F.concat(F.lit("chr"), F.col("user_id") % 3).alias("chrom"), (F.col("user_id") % 6 * 100 + 10).alias("pos"),
-        F.lit("+").alias("strand"), F.lit("A+a").alias("mod_code"), (F.col("value") / 500).alias("probability"), state.alias("state"), "event_type", "value",
+        F.lit("+").alias("strand"), F.lit("A+a").alias("mod_code"), (F.col("value") / 500).alias("probability"), state.alias("observation_state"), "event_type", "value",
     )
 
 

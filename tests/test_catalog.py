@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strandloom.functions import geometry as G
 from strandloom.functions.statistics import odds_ratio, wilson
 from strandloom.operators import clustering as K
 from strandloom.operators import description as D
@@ -144,3 +145,47 @@ def test_annotation(spark):
 def test_members(spark):
     d = spark.createDataFrame([("tc_name2_v1:a%20b,c+d|1.5",), ("r1,r2|0.5",), ("|0.5",), ("none",), (None,)], "n string")
     assert [r.m for r in d.select(bed.name2_members(F.col("n")).alias("m")).collect()] == [["a b", "c+d"], ["r1", "r2"], [], [], []]
+
+
+def test_equal_chains_ask_once_for_a_container(spark, tracks):
+    n = 300
+    rows = [(f"r{i}", "chr1", "+", [(100 + i % 20, 200), (300, 500 + i)], "g", i) for i in range(n)]
+    t = tracks(*rows)
+    nodes = t.withColumns({
+        "id": F.col("name"), "locus_start": F.lit(100).cast("long"), "junctions": G.junction_positions("exons", "strand"), "length": G.total("exons"), "is_ref": F.lit(False),
+        "three": F.col("tx_end"), "five": F.col("tx_start"), "three_n": F.lit(0).cast("long"), "five_n": F.lit(0).cast("long"),
+    })
+    held = K.held_spliced(nodes, K.Ends())
+    small, roots = nodes.join(held, "id", "left_semi"), nodes.join(held, "id", "left_anti")
+    assert held.count() == n - 1 and K.spliced_containers(small, roots).count() == n - 1
+
+
+def test_one_name_on_two_chromosomes_is_two_reads(spark, tracks):
+    exons = [(100, 200), (300, 400)]
+    refs = tracks(("a", "chr1", "+", exons, "g1", 0), ("b", "chr2", "+", exons, "g2", 0))
+    reads = tracks(*[("x", c, "+", exons, g, 0) for c, g in (("chr1", "g1"), ("chr2", "g2"))])
+    _, mapping, unused = K.junction_catalog(reads, refs, 1)
+    assert sorted(r.isoform_id for r in mapping.collect()) == ["a", "b"] and unused.count() == 0
+
+
+def test_required_abundance_output(spark, tracks):
+    """20,000 reads of one gene in the shares 60:25:10:5 give four isoforms, and no read is left out."""
+    four = [[(1000, 1100), (1200, 1300), (1400, 1500), (1600, 1700)], [(1000, 1100), (1200, 1300), (1450, 1500), (1600, 1700)], [(1000, 1100), (1400, 1500), (1600, 1700)], [(1000, 1100), (1200, 1350), (1400, 1500), (1600, 1700)]]
+    refs = tracks(("ref", "chr1", "+", four[0], "g", 0))
+    base = tracks(*[(f"k{k}", "chr1", "+", x, "g", 0) for k, x in enumerate(four)])
+    share = spark.createDataFrame([("k0", 12_000), ("k1", 5000), ("k2", 2000), ("k3", 1000)], "name string, n int")
+    reads = base.join(share, "name").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n")))).withColumn("name", F.concat_ws("_", "name", "i"))
+    isoforms, mapping, unused = K.junction_catalog(reads, refs)
+    counts = sorted(r["count"] for r in mapping.groupBy("isoform_id").count().collect())
+    assert isoforms.count() == 4 and counts == [1000, 2000, 5000, 12_000] and unused.count() == 0
+
+
+def test_required_terminal_variation_output(spark, tracks):
+    """3' ends 160 bases apart in the shares 80:20 stay two isoforms at 20,000 reads."""
+    near, far = [(1000, 1100), (1200, 1340)], [(1000, 1100), (1200, 1500)]
+    refs = tracks(("ref", "chr1", "+", far, "g", 0))
+    base = tracks(("n", "chr1", "+", near, "g", 0), ("f", "chr1", "+", far, "g", 0))
+    share = spark.createDataFrame([("f", 16_000), ("n", 4000)], "name string, n int")
+    reads = base.join(share, "name").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n")))).withColumn("name", F.concat_ws("_", "name", "i"))
+    isoforms, mapping, unused = K.junction_catalog(reads, refs)
+    assert isoforms.count() == 2 and sorted(r["count"] for r in mapping.groupBy("isoform_id").count().collect()) == [4000, 16_000] and unused.count() == 0
