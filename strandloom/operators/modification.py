@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.statistics import odds_ratio, rank_score, wilson
+from ..sources.tables import EXPLICIT, IMPLICIT, UNKNOWN
 
 SITE = ["chrom", "pos", "strand", "mod_code"]
 
@@ -25,10 +26,10 @@ def join_quality(joined: DataFrame) -> DataFrame:
 def aggregate(joined: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Counts of calls per sample, isoform and site, with the modified fraction and its interval."""
     p = F.col("probability")
-    explicit = F.col("state") == "explicit"
+    explicit = F.col("observation_state") == EXPLICIT
     g = joined.where("isoform_id IS NOT NULL").groupBy("sample", "gene", "isoform_id", *SITE).agg(
         F.count_if(explicit).alias("n_explicit"), F.count_if(explicit & (p >= threshold)).alias("n_modified"), F.sum(F.when(explicit, p)).alias("sum_probability"),
-        F.count_if(F.col("state") == "implicit").alias("n_implicit"), F.count_if(F.col("state") == "unknown").alias("n_unknown"),
+        F.count_if(F.col("observation_state") == IMPLICIT).alias("n_implicit"), F.count_if(F.col("observation_state") == UNKNOWN).alias("n_unknown"),
     )
     callable_ = F.col("n_explicit") + F.col("n_implicit")
     fraction, low, high = wilson(F.col("n_modified"), F.col("n_callable"))
@@ -90,23 +91,24 @@ def tail_summary(calls: DataFrame, mapping: DataFrame, universe: DataFrame) -> D
     n = lambda s: F.count_if(status == s).alias(f"n_{s}")
     q = F.percentile(length, [0.25, 0.5, 0.75])
     stats = joined.groupBy("sample", "isoform_id").agg(
-        F.count("*").alias("n_assigned"), n("estimated"), n("estimation_failed"), n("anchor_not_found"), n("missing"),
+        F.count("*").alias("n_assigned"), n("estimated"), n("estimation_failed"), n("anchor_not_found"), n("qc_failed"), n("missing"),
         F.avg(length).alias("mean"), q[1].alias("median"), q[0].alias("q25"), q[2].alias("q75"), F.min(length).alias("shortest"), F.max(length).alias("longest"), F.stddev_samp(length).alias("sd"),
     )
     out = universe.join(stats, ["sample", "isoform_id"], "left")
-    for c in ("n_assigned", "n_estimated", "n_estimation_failed", "n_anchor_not_found", "n_missing"):
+    for c in ("n_assigned", "n_estimated", "n_estimation_failed", "n_anchor_not_found", "n_qc_failed", "n_missing"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
     return out
 
 
 # Fixed order of reasons: the first that holds is given.
-def eligibility(strict: bool, min_covering: int = 10, min_callable: int = 10, min_candidate_rate: float = 0.5, min_callable_rate: float = 0.5):
-    """The first reason why a row can't be compared, or ``ok``.
+def eligibility(strict: bool, min_covering: int = 20, min_callable: int | None = None, min_candidate_rate: float = 0.8, min_callable_rate: float = 0.8):
+    """The first reason why a row can't be compared, or ``ok``; ``min_callable`` is 10 when strict, else 1.
 
     Columns: site_state, complete, join_low, n_unknown_source, n_implicit, implicit_callable, has_coverage,
     reference_checked, verified, n_covering, n_candidate, n_callable.
     """
     c = F.col
+    min_callable = (10 if strict else 1) if min_callable is None else min_callable
     rules = [
         (c("site_state") == "structurally_absent", "site_absent"), (c("site_state") == "context_dependent", "context_dependent"), (c("site_state") == "reference_base_mismatch", "reference_base_mismatch"),
         (c("site_state") == "unprojectable", "unprojectable"), (~c("complete"), "incomplete_candidate_universe"), (c("join_low"), "join_rate_low"),

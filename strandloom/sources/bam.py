@@ -161,11 +161,19 @@ def modification_calls(rows: DataFrame, base: str = "A", code: str = "a") -> Dat
     """
     reverse = F.col("flag").bitwiseAND(F.lit(0x10)) != 0
     group = F.regexp_extract("mm", rf"(?:^|;){base}\+{code}[.?]?((?:,[0-9]+)*)", 1)
-    before = F.regexp_extract("mm", rf"^(.*?)(?:^|;){base}\+{code}[.?]?(?:,|;|$)", 1)
-    skipped = F.length(before) - F.length(F.replace(before, F.lit(","), F.lit("")))
+    # A group lists its positions once and has an ML byte for each position and code, position by position.
+    groups = F.filter(F.split("mm", ";"), lambda g: g != "")
+    head = lambda g: F.regexp_extract(g, r"^([A-Za-z])[+-]([a-z]+|[0-9]+)[.?]?", 2)
+    codes = lambda g: F.when(head(g).rlike("^[0-9]"), 1).otherwise(F.length(head(g)))
+    bytes_of = lambda g: (F.length(g) - F.length(F.replace(g, F.lit(","), F.lit("")))) * codes(g)
+    total = lambda a: F.aggregate(a, F.lit(0), lambda n, g: n + bytes_of(g))
+    at = F.coalesce(F.get(F.filter(F.transform(groups, lambda g, i: F.when(g.rlike(rf"^{base}\+{code}[.?]?(,|$)"), i)), lambda i: i.isNotNull()), 0), F.lit(0))
+    skipped = total(F.slice(groups, 1, at))
     bad = F.col("mn").isNull() | (F.col("mn") != F.length("seq"))
     stop = F.raise_error(F.lit("MN differs from the length of the sequence")).cast("boolean")
-    good = rows.where(primary(F.col("flag"), F.col("mapq"), 0) & F.col("mm").isNotNull()).where(F.when(bad, stop).otherwise(True))
+    short = F.raise_error(F.lit("ML has another number of bytes than MM has calls")).cast("boolean")
+    wrong = F.coalesce(F.octet_length("ml"), F.lit(0)) != total(groups)
+    good = rows.where(primary(F.col("flag"), F.col("mapq"), 0) & F.col("mm").isNotNull()).where(F.when(bad, stop).when(wrong, short).otherwise(True))
     own = F.when(reverse, F.reverse(F.translate("seq", "ACGT", "TGCA"))).otherwise(F.col("seq"))
     letters = F.filter(F.transform(F.split(own, ""), lambda c, i: F.when(c == base, i)), lambda i: i.isNotNull())
     gaps = F.transform(F.filter(F.split(group, ","), lambda x: x != ""), lambda x: x.cast("int"))

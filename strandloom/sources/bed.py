@@ -18,7 +18,8 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """Tracks with ``error`` (NULL: good) from a frame of lines (``value``); blank and # lines are no records.
 
     Strict: any fault is an error.  Lenient: a score beyond 1000 is 1000, none is 0, empty list items
-    are dropped, and a block's end is cut to the span; ``repairs`` counts them.
+    are dropped, and a block's end is cut to the span; ``repairs`` counts the kinds that a line needed.
+    ``line`` numbers the lines in order, with gaps.
     """
     v = F.rtrim(F.col("value"))
     rows = lines.where((F.trim("value") != "") & ~F.ltrim(F.col("value")).startswith("#")).withColumn("raw", v)
@@ -35,7 +36,10 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
     score = num(4)
     fixed = F.when(score.isNull() | (score < 0), 0).when(score > 1000, 1000).otherwise(score)
     over = F.exists(blocks, lambda b: start + b["starts"] + b["sizes"] > end)
-    repairs = (F.coalesce(score > 1000, F.lit(True)).cast("int") + (F.coalesce(items(10), F.lit("")) != F.coalesce(at(10), F.lit(""))).cast("int") * 0 + F.coalesce(over, F.lit(False)).cast("int"))
+    # One trailing comma is part of the format and no repair; an empty item before it is one.
+    dropped = lambda i: F.coalesce(items(i) != F.regexp_replace(at(i), ",$", ""), F.lit(False))
+    repaired = (F.coalesce((score > 1000) | (score < 0), F.lit(True)), dropped(10), dropped(11), F.coalesce(over, F.lit(False)))
+    repairs = sum(r.cast("int") for r in repaired)
     x = rows.withColumn("exons", exons)
     n = F.size("exons")
     # A one-item list has no neighbours, so its sequence would count down: it is settled first.
@@ -56,13 +60,22 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
         at(0).alias("chrom"), at(5).alias("strand"), start.alias("tx_start"), end.alias("tx_end"), at(3).alias("name"), (fixed if lenient else score).cast("int").alias("score"),
         num(6).alias("thick_start"), num(7).alias("thick_end"), at(8).alias("item_rgb"), F.col("exons").cast(INTERVALS).alias("exons"), *extra, tail.alias("extra_tail"),
         F.greatest(F.size("f") - 12, F.lit(0)).alias("n_extra"), error.alias("error"), (repairs if lenient else F.lit(0)).alias("repairs"), F.col("raw"),
+        F.monotonically_increasing_id().alias("line"),
     )
 
 
 def read(spark: SparkSession, path: str, lenient: bool = False) -> tuple[DataFrame, DataFrame]:
     """(tracks, rejected lines with their error)."""
     rows = parse(spark.read.text(path), lenient)
-    return rows.where("error IS NULL").drop("error", "raw"), rows.where("error IS NOT NULL").select("name", "error", "raw")
+    return sound(rows).drop("error", "raw"), rows.where("error IS NOT NULL AND line >= 0").select("name", "error", "raw")
+
+
+def sound(parsed: DataFrame) -> DataFrame:
+    """The rows of :func:`parse` without a fault.
+
+    The line's number, which the filter names, keeps the optimizer from copying every check and field into it.
+    """
+    return parsed.where("error IS NULL AND line >= 0").drop("line")
 
 
 def format_bed(tracks: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 OBSERVATION = (
     "assay_id string, sample string, read_id string, chrom string, pos0 long, strand string, mod_code string, probability double, observation_state string, context string, source_transcript_id string, source_pos0 long"
 )
+# Fixed tokens of the states of a call.
+EXPLICIT, IMPLICIT, UNKNOWN = "explicit_probability", "implicit_below_emission_threshold", "unknown"
 SITE_PROBABILITY = "transcript_id string, transcript_position long, read_index long, probability_modified double"
 
 
@@ -26,7 +28,7 @@ def unique(df: DataFrame, keys: list[str], message: str) -> DataFrame:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """sample, reads, group: any column order, names in any case; sample names are unique and have no ``::``."""
-    raw = spark.read.csv(path, sep="\t", header=True)
+    raw = spark.read.csv(path, sep="\t", header=True, comment="#")
     names = {c.lower().strip(): c for c in raw.columns}
     if not {"sample", "reads"} <= set(names):
         raise ValueError("a manifest needs the columns sample and reads")
@@ -34,7 +36,10 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     folder = path.rsplit("/", 1)[0] if "/" in path else "."
     reads = F.trim(F.col(names["reads"]))
     rows = raw.select(F.trim(F.col(names["sample"])).alias("sample"), F.when(reads.rlike("^(/|[a-z0-9]+:)"), reads).otherwise(F.concat(F.lit(folder + "/"), reads)).alias("reads"), group.alias("group"))
-    return _must(rows, (F.col("sample") == "") | F.col("sample").contains("::") | (F.col("reads") == ""), "bad sample or reads in manifest")
+    bad = (F.coalesce("sample", F.lit("")) == "") | F.col("sample").contains("::") | (F.coalesce("reads", F.lit("")) == "")
+    # A manifest is a short list, so its rows can be counted by sample in one window.
+    again = F.count("*").over(Window.partitionBy("sample"))
+    return _must(_must(rows, bad, "bad sample or reads in manifest").withColumn("again", again), F.col("again") > 1, "a sample is listed twice").drop("again")
 
 
 def union_samples(frames: dict[str, DataFrame]) -> DataFrame:
@@ -63,10 +68,8 @@ def observations(raw: DataFrame) -> DataFrame:
     """Checked calls: equal rows once, no two values for a key, probabilities in 0..1 where explicit."""
     key = ["assay_id", "sample", "read_id", "chrom", "pos0", "strand", "mod_code"]
     rows = raw.dropDuplicates()
-    explicit = F.col("observation_state") == "explicit"
-    bad = ~F.col("strand").isin("+", "-", ".") | ~F.col("observation_state").isin("explicit", "implicit_below_threshold", "unknown") | (explicit & ~F.coalesce(F.col("probability").between(0, 1), F.lit(False)))
-    from pyspark.sql import Window
-
+    explicit = F.col("observation_state") == EXPLICIT
+    bad = ~F.col("strand").isin("+", "-", ".") | ~F.col("observation_state").isin(EXPLICIT, IMPLICIT, UNKNOWN) | (explicit & ~F.coalesce(F.col("probability").between(0, 1), F.lit(False)))
     several = F.count("*").over(Window.partitionBy(*key)) > 1
     checked = _must(rows, bad, "a call is not valid").withColumn("several", several)
     return _must(checked, F.col("several"), "a call has two values").drop("several")
@@ -87,7 +90,7 @@ def nanopolish_tails(raw: DataFrame) -> DataFrame:
     passed = F.col("qc_tag") == "PASS"
     best = F.min(F.struct((~passed).alias("no"), F.when(passed, F.col("polya_length")).alias("length"), "qc_tag")).alias("b")
     rows = raw.groupBy(F.col("readname").alias("read_id")).agg(best)
-    return rows.select("read_id", F.when(~F.col("b.no"), "estimated").otherwise("estimation_failed").alias("status"), F.col("b.length").alias("length"))
+    return rows.select("read_id", F.when(~F.col("b.no"), "estimated").otherwise("qc_failed").alias("status"), F.col("b.length").alias("length"))
 
 
 def m6anet_calls(probabilities: DataFrame, reads: DataFrame, transcripts: DataFrame, sample: str) -> DataFrame:
@@ -96,14 +99,12 @@ def m6anet_calls(probabilities: DataFrame, reads: DataFrame, transcripts: DataFr
 
     j = probabilities.join(reads, "read_index").join(transcripts.select(F.col("name").alias("transcript_id"), "chrom", "strand", "exons"), "transcript_id")
     pos = G.spliced_to_genomic(F.col("transcript_position"), "exons", "strand")
-    rows = j.select(F.lit(sample).alias("sample"), "read_id", "chrom", pos.alias("pos0"), "strand", F.lit("A+a").alias("mod_code"), F.col("probability_modified").alias("probability"), F.lit("explicit").alias("observation_state"), F.col("transcript_id").alias("source_transcript_id"), F.col("transcript_position").alias("source_pos0"))
+    rows = j.select(F.lit(sample).alias("sample"), "read_id", "chrom", pos.alias("pos0"), "strand", F.lit("A+a").alias("mod_code"), F.col("probability_modified").alias("probability"), F.lit(EXPLICIT).alias("observation_state"), F.col("transcript_id").alias("source_transcript_id"), F.col("transcript_position").alias("source_pos0"))
     return _must(rows, F.col("pos0").isNull(), "a site lies outside its transcript")
 
 
 def fasta_chunks(lines: DataFrame, width: int = 4096) -> DataFrame:
     """chrom, chunk, bases: a reference cut into rows of ``width`` bases, from (file, line_no, value)."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("file").orderBy("line_no")
     named = lines.withColumn("chrom", F.last(F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S+)", 1)), ignorenulls=True).over(order)).where(~F.col("value").startswith(">"))
     within = Window.partitionBy("file", "chrom").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("part", "lineitem", "orders", "events", "supplier", "nation", "region", "customer"):
+    for t in ("part", "lineitem", "orders", "events", "supplier", "nation", "region", "customer", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 

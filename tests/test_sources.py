@@ -54,7 +54,7 @@ def test_manifest_and_mapping(spark, tmp_path):
 
 
 def test_observations(spark):
-    row = ("a", "S", "r", "c", 1, "+", "A+a", 0.5, "explicit", None, None, None)
+    row = ("a", "S", "r", "c", 1, "+", "A+a", 0.5, "explicit_probability", None, None, None)
     assert T.observations(spark.createDataFrame([row, row], T.OBSERVATION)).count() == 1
     with pytest.raises(Exception, match="two values"):
         T.observations(spark.createDataFrame([row, row[:7] + (0.6,) + row[8:]], T.OBSERVATION)).collect()
@@ -66,7 +66,7 @@ def test_tails_do_not_depend_on_row_order(spark):
     rows = [("a", 5.0, "SUFFCLIP"), ("a", 9.0, "PASS"), ("a", 7.0, "PASS"), ("b", 3.0, "ADAPTER")]
     for r in (rows, rows[::-1]):
         got = T.nanopolish_tails(spark.createDataFrame(r, "readname string, polya_length double, qc_tag string")).collect()
-        assert {tuple(x) for x in got} == {("a", "estimated", 7.0), ("b", "estimation_failed", None)}
+        assert {tuple(x) for x in got} == {("a", "estimated", 7.0), ("b", "qc_failed", None)}
 
 
 def test_m6anet(spark, tracks):
