@@ -378,7 +378,7 @@ def tail_lengths(spark: SparkSession, d: str) -> DataFrame:
     status = F.when(F.col("event_type") == F.col("low"), "estimation_failed").when(F.col("event_type") == F.col("high"), "anchor_not_found").otherwise("estimated")
     calls = obs.where("read_id % 5 <> 0").crossJoin(ends).select("sample", "read_id", status.alias("status"), F.col("value").alias("length"))  # one row beside all
     universe = iso.select("sample", "isoform_id").distinct()
-    return _round(modification.tail_summary(calls, iso.select("sample", "read_id", "isoform_id"), universe), "mean", "median", "q25", "q75", "sd")
+    return _round(modification.tail_summary(calls, iso.select("sample", "read_id", "isoform_id"), universe).drop("n_qc_failed"), "mean", "median", "q25", "q75", "sd")
 
 
 @query(""", sc AS (SELECT o_custkey % 10 AS stratum, CAST(o_orderkey AS VARCHAR) AS read_id, sha256('strand:7:' || o_orderkey) AS h FROM orders)
