@@ -111,13 +111,13 @@ def count_multi(spark, a):
 def desc(spark, a):
     t, refs = _tracks(spark, a.reads), _tracks(spark, a.refs)
     out = description.report(t, refs)
-    for name, order in (("described", ["isoform_id", "gene"]), ("classes", ["isoform_id"]), ("fusions", ["isoform_id"])):
+    for name, order in (("classes", ["isoform_id", "gene"]), ("classes12", ["isoform_id"]), ("fusions", ["isoform_id"])):
         sinks.tsv(out[name], f"{a.out}/{name}", order)
 
 
 def full_flow(spark, a):
     out = flow.run(_samples(spark, a.reads), _tracks(spark, a.refs), flow.Options(site_support=a.support, site_reach=a.reach, junction_offset=a.offset))
-    for name, order in (("unique", ["read_id"]), ("unused", ["read_id"]), ("counts", ["gene", "isoform_id"]), ("described", ["isoform_id", "gene"]), ("classes", ["isoform_id"]), ("fusions", ["isoform_id"]), ("usage", ["gene", "isoform_id", "sample"])):
+    for name, order in (("unique", ["read_id"]), ("unused", ["read_id"]), ("counts", ["gene", "isoform_id"]), ("classes", ["isoform_id", "gene"]), ("classes12", ["isoform_id"]), ("fusions", ["isoform_id"]), ("usage", ["gene", "isoform_id", "sample"])):
         sinks.tsv(out[name], f"{a.out}/{name}", order)
 
 
