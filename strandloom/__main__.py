@@ -10,9 +10,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import clustering, counting, description, interval
+from .operators import clustering, counting, description, interval, modification, site_tables, tails
 from .plans import flow
-from .sources import bam, bed, sinks, tables
+from .sources import bam, bed, manifests, sinks, tables
 
 
 def _tracks(spark: SparkSession, path: str) -> DataFrame:
@@ -121,13 +121,74 @@ def full_flow(spark, a):
         sinks.tsv(out[name], f"{a.out}/{name}", order)
 
 
+def _isoforms(spark: SparkSession, path: str) -> DataFrame:
+    """isoform_id, gene, chrom, strand, exons; an isoform of no gene or of several is an error."""
+    t = _tracks(spark, path)
+    t = tables._must(t, (F.col("gene_id") == "none") | F.col("gene_id").contains("||"), "an isoform has no gene or several")
+    return t.select(F.col("name").alias("isoform_id"), F.col("gene_id").alias("gene"), "chrom", "strand", "exons")
+
+
+def _table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A headed table with NA for NULL; counts and rates are numbers."""
+    t = spark.read.csv(path, sep="\t", header=True, nullValue="NA", quote="").select(*columns)
+    real = {"analysis_threshold", "mod_fraction", "mean_probability", "ci_low", "ci_high", "candidate_rate", "callable_rate"}
+    return t.withColumns({c: F.col(c).cast("double" if c in real else "long") for c in columns if c in real or c.startswith("n_") or c == "pos0"})
+
+
+def mod_aggregate(spark, a):
+    groups = {r.sample: r.group for r in tables.manifest(spark, a.reads).collect()} if a.reads else {}
+    rows = manifests.modification_manifest(spark, a.manifest)
+    if groups and (lost := {r.sample for r in rows} - set(groups)):
+        raise SystemExit(f"samples that the reads' manifest lacks: {sorted(lost)}")
+    given = dict(x.rsplit("=", 1) for x in a.threshold)
+    calls, inputs, coverage = manifests.read_modifications(spark, rows, {k: float(v) for k, v in given.items()}, groups)
+    mapping = manifests.mapping_of_samples(tables.read_isoform_pairs(spark.read.text(a.mapping)))
+    chunks = None
+    if a.fasta:
+        line = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("i"))
+        chunks = tables.fasta_chunks(spark.read.text(a.fasta).select(F.col("_metadata.file_path").alias("file"), line.alias("line_no"), "value"))
+    gates = site_tables.Gates(strict=a.strict, min_callable=a.min_callable, allow_low_join=a.allow_low_join)
+    out = site_tables.aggregate(calls, inputs, mapping, _isoforms(spark, a.refs), coverage, chunks, gates)
+    order = {"join_qc": ["assay_id", "sample"], "site_join_qc": ["assay_id", "sample", "chrom", "pos0"], "sites": ["assay_id", "sample", "gene", "isoform_id", "chrom", "pos0"], "design": ["assay_id", "sample", "gene", "isoform_id", "site_id"]}
+    for name, by in order.items():
+        sinks.tsv(out[name], f"{a.out}/{name}", by)
+
+
+def mod_contrast(spark, a):
+    out = site_tables.contrasts(_table(spark, a.reads, site_tables.DESIGN), _table(spark, a.specs, site_tables.SPEC))
+    sinks.tsv(out, a.out, site_tables.CONTRAST[:1] + ["assay_id", "gene", "site_id", "mod_code", "isoform_a", "isoform_b"])
+
+
+def mod_site_summary(spark, a):
+    out = site_tables.summarize(_table(spark, a.reads, site_tables.SITES))
+    sinks.tsv(out, a.out, ["assay_id", "gene", "chrom", "pos0", "mod_code"])
+
+
+def mod_subsample(spark, a):
+    pairs = tables.read_isoform_pairs(spark.read.text(a.mapping))
+    ids = pairs.join(_isoforms(spark, a.refs).select("isoform_id", "gene"), "isoform_id").select(F.col("gene").alias("stratum"), "read_id").distinct()
+    sinks.tsv(modification.subsample(ids, a.seed, a.size, a.replicates), a.out, ["stratum", "replicate", "rank"])
+
+
+def polya_aggregate(spark, a):
+    rows = manifests.tail_manifest(spark, a.manifest)
+    if a.reads:
+        rows = manifests.match_samples(rows, tables.manifest(spark, a.reads).collect())
+    inputs = spark.createDataFrame([(r.sample, r.group, r.caller, r.input) for r in rows], "sample string, `group` string, caller string, input string")
+    mapping = manifests.mapping_of_samples(tables.read_isoform_pairs(spark.read.text(a.mapping)))
+    out = tails.aggregate(manifests.read_tails(spark, rows), inputs, mapping, _isoforms(spark, a.refs))
+    for name, by in (("reads", ["sample", "read_id"]), ("qc", ["sample"]), ("isoforms", ["sample", "gene", "isoform_id"])):
+        sinks.tsv(out[name], f"{a.out}/{name}", by)
+
+
 COMMANDS = {"validate-bed": validate_bed, "gff2bigg": gff2bigg, "bam2bigg": bam2bigg, "export": export, "addgene": addgene, "clusterj": clusterj, "cluster": cluster, "count": count, "count-multi": count_multi, "desc": desc, "flow": full_flow}
+COMMANDS |= {"mod-aggregate": mod_aggregate, "mod-contrast": mod_contrast, "mod-site-summary": mod_site_summary, "mod-subsample": mod_subsample, "polya-aggregate": polya_aggregate}
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="strandloom")
     p.add_argument("command", choices=COMMANDS)
-    for name in ("reads", "refs", "mapping", "out"):
+    for name in ("reads", "refs", "mapping", "manifest", "specs", "fasta", "out"):
         p.add_argument(f"--{name}")
     p.add_argument("--format", choices=("gtf", "gff3", "table"), default="gtf")
     p.add_argument("--gene-key", default="gene_id")
@@ -137,6 +198,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--support", type=int, default=5)
     p.add_argument("--reach", type=int, default=10)
     p.add_argument("--offset", type=int, default=15)
+    p.add_argument("--threshold", action="append", default=[], metavar="ASSAY=P")
+    p.add_argument("--strict", action="store_true")
+    p.add_argument("--allow-low-join", action="store_true")
+    p.add_argument("--min-callable", type=int)
+    p.add_argument("--seed", type=int, default=1)
+    p.add_argument("--size", type=int, default=100)
+    p.add_argument("--replicates", type=int, default=1)
     a = p.parse_args(argv)
     COMMANDS[a.command](SparkSession.builder.appName("strandloom").getOrCreate(), a)
 
