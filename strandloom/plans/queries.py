@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.statistics import rank_score
-from ..operators import clustering, counting, description, interval, modification
+from ..operators import clustering, counting, description, interval, modification, site_tables
 from ..sources import bed
 from . import simulate as S
 from .simulate import SQL
@@ -534,3 +534,48 @@ def twelve_classes(spark: SparkSession, d: str) -> DataFrame:
     named, refs = _named(spark, d), S.catalog(spark, d)
     none = refs.where("false").select(F.col("name").alias("isoform_id"))
     return description.class12(description.describe(named, refs), description.fusions(named, refs), none)
+
+
+STUDY = """, ev AS (SELECT event_id, user_id AS u, 's' || (event_id % 4) AS sample, CASE WHEN event_id % 13 <> 0 THEN CASE WHEN event_id // 4 % 2 = 0 THEN 'a' ELSE 'b' END END AS k, least(value / 200, 1.0) AS p,
+CASE WHEN event_id % 7 = 0 THEN 'i' WHEN event_id % 501 = 0 THEN 'n' ELSE 'e' END AS state FROM events),
+ct AS (SELECT u, sample, k, count(*) AS cand, count(*) FILTER (WHERE state = 'e' AND p >= 0.5) AS up, count(*) FILTER (WHERE state = 'e' AND p < 0.5) + count(*) FILTER (WHERE state = 'i') AS down,
+count(*) FILTER (WHERE state = 'n') AS unk FROM ev WHERE k IS NOT NULL GROUP BY ALL),
+gr AS (SELECT u, sample, k FROM (SELECT DISTINCT u FROM ct), (SELECT DISTINCT sample FROM ev), (SELECT unnest(['a', 'b']) AS k)),
+st AS (SELECT gr.u, gr.sample, gr.k, CASE WHEN gr.sample IN ('s0', 's1') THEN 'control' ELSE 'treated' END AS grp, gr.k = 'b' AND gr.u % 3 = 0 AS absent, coalesce(cand, 0) AS cand, coalesce(unk, 0) AS unk,
+CASE WHEN gr.k = 'b' AND gr.u % 3 = 0 THEN 0 ELSE coalesce(up, 0) END AS m, CASE WHEN gr.k = 'b' AND gr.u % 3 = 0 THEN 0 ELSE coalesce(down, 0) END AS n FROM gr LEFT JOIN ct ON ct.u = gr.u AND ct.sample = gr.sample AND ct.k = gr.k),
+ok AS (SELECT *, CASE WHEN absent THEN 'site_absent' WHEN unk > 0 THEN 'unknown_denominator' WHEN m + n < 1 THEN 'low_callable' ELSE 'ok' END AS reason, CASE WHEN NOT absent AND unk = 0 AND m + n > 0 THEN m / (m + n) END AS f FROM st)
+"""
+
+
+def _study(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return site_tables.aggregate(*S.study(spark, d))
+
+
+@query(STUDY + """SELECT sample, grp AS "group", 'g' || u AS gene, u || k AS isoform_id, 'chr1:' || (u * 1000 + 110) || ':+' AS site_id, CASE WHEN absent THEN 'structurally_absent' ELSE 'present' END AS site_state,
+cand AS n_assigned, cand AS n_candidate, m + n AS n_callable, m AS n_modified, n AS n_unmodified, cand - m - n AS n_unknown, round(f, 6) AS mod_fraction, reason AS eligibility_reason FROM ok""")
+def site_table(spark: SparkSession, d: str) -> DataFrame:
+    out = _study(spark, d)["sites"].select("sample", "group", "gene", "isoform_id", "site_id", "site_state", "n_assigned", "n_candidate", "n_callable", "n_modified", "n_unmodified", "n_unknown", "mod_fraction", "eligibility_reason")
+    return _round(_long(out, "n_modified", "n_unmodified", "n_callable", "n_unknown"), "mod_fraction")
+
+
+@query(STUDY + """, el AS (SELECT * FROM ok WHERE reason = 'ok'), pr AS (SELECT a.u, a.sample, a.grp, a.f - b.f AS d, a.m AS ma, a.n AS na, b.m AS mb, b.n AS nb FROM el a JOIN el b ON a.u = b.u AND a.sample = b.sample AND a.k = 'a' AND b.k = 'b'),
+us AS (SELECT DISTINCT user_id AS u FROM events),
+i1 AS (SELECT us.u, 'isoform_effect' AS t, count(d) AS n, avg(d) AS delta, CASE WHEN count(d) > 0 THEN (sum(ma) + 0.5) * (sum(nb) + 0.5) / ((sum(na) + 0.5) * (sum(mb) + 0.5)) END AS odds, NULL::DOUBLE AS inter, CASE WHEN count(d) > 0 THEN 'ok' ELSE 'no_shared_eligible_samples' END AS reason
+FROM us LEFT JOIN pr ON pr.u = us.u GROUP BY us.u),
+c0 AS (SELECT us.u, count(f) AS n, avg(f) FILTER (WHERE grp = 'treated') - avg(f) FILTER (WHERE grp = 'control') AS delta,
+(sum(m) FILTER (WHERE grp = 'treated') + 0.5) * (sum(el.n) FILTER (WHERE grp = 'control') + 0.5) / ((sum(el.n) FILTER (WHERE grp = 'treated') + 0.5) * (sum(m) FILTER (WHERE grp = 'control') + 0.5)) AS odds FROM us LEFT JOIN el ON el.u = us.u AND k = 'a' GROUP BY us.u),
+x0 AS (SELECT us.u, count(d) AS n, avg(d) FILTER (WHERE grp = 'treated') - avg(d) FILTER (WHERE grp = 'control') AS inter FROM us LEFT JOIN pr ON pr.u = us.u GROUP BY us.u),
+al AS (SELECT * FROM i1 UNION ALL SELECT u, 'condition_effect', n, delta, odds, NULL, CASE WHEN delta IS NULL THEN 'missing_eligible_group' ELSE 'ok' END FROM c0
+UNION ALL SELECT u, 'isoform_condition_interaction', n, NULL, NULL, inter, CASE WHEN inter IS NULL THEN 'missing_paired_group' ELSE 'ok' END FROM x0)
+SELECT t AS contrast_type, 'g' || u AS gene, n AS n_eligible_samples, round(delta, 6) AS delta_fraction, round(odds, 6) AS odds_ratio, round(inter, 6) AS interaction_delta, reason AS eligibility_reason FROM al""")
+def site_contrasts(spark: SparkSession, d: str) -> DataFrame:
+    """Three requests for each gene: isoform a against b, the groups of a, and their interaction."""
+    u = S.table(spark, d, "events").select("user_id").distinct()
+    text = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+    a, b = F.concat(text("user_id"), F.lit("a")), F.concat(text("user_id"), F.lit("b"))
+    low, high, no = F.lit("control"), F.lit("treated"), text(None)
+    ask = [("isoform_effect", b, no, no), ("condition_effect", no, low, high), ("isoform_condition_interaction", b, low, high)]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("contrast_type"), x.alias("isoform_b"), g.alias("group_a"), h.alias("group_b")) for k, x, g, h in ask])).alias("x")
+    specs = u.select(F.lit("m").alias("assay_id"), F.concat(F.lit("g"), "user_id").alias("gene"), F.concat(F.lit("chr1:"), F.col("user_id") * 1000 + 110, F.lit(":+")).alias("site_id"), F.lit("A+a").alias("mod_code"), a.alias("isoform_a"), each)
+    out = site_tables.contrasts(_study(spark, d)["design"], specs.select("assay_id", "gene", "site_id", "mod_code", "isoform_a", "x.*"))
+    return _round(out.select("contrast_type", "gene", "n_eligible_samples", "delta_fraction", "odds_ratio", "interaction_delta", "eligibility_reason"), "delta_fraction", "odds_ratio", "interaction_delta")

@@ -70,6 +70,35 @@ def read_isoforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select((F.col("event_id") % 4).alias("sample"), F.col("event_id").alias("read_id"), (F.col("user_id") % 6).alias("gene"), (F.col("user_id") % 6 + 6 * (F.floor(F.col("event_id") / 4) % 2)).alias("isoform_id"))
 
 
+def study(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(calls, inputs, mapping, isoforms) of a study whose genes and sites are the users, so they grow with the tables.
+
+    Gene u has the isoforms ua and ub and a site in both, or in ua alone where u is divisible by 3. Events are
+    calls of four samples; one read in thirteen has no isoform. Of an implicit call the probability is below 0.05.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    sample = F.concat(F.lit("s"), F.col("event_id") % 4)
+    read, gene = F.concat_ws("::", sample, F.col("event_id").cast("string")), F.concat(F.lit("g"), "user_id")
+    isoform = F.concat(F.col("user_id").cast("string"), F.when(F.floor(F.col("event_id") / 4) % 2 == 0, "a").otherwise("b"))
+    state = F.when(F.col("event_id") % 7 == 0, IMPLICIT).when(F.col("event_id") % 501 == 0, UNKNOWN).otherwise(EXPLICIT)
+    none = F.lit(None).cast("string")
+    calls = e.select(
+        F.lit("m").alias("assay_id"), sample.alias("sample"), read.alias("read_id"), F.lit("chr1").alias("chrom"), (F.col("user_id") * 1000 + 110).alias("pos0"), F.lit("+").alias("strand"), F.lit("A+a").alias("mod_code"),
+        F.when(state == EXPLICIT, F.least(F.col("value") / 200, F.lit(1.0))).alias("probability"), state.alias("observation_state"), none.alias("context"), none.alias("source_transcript_id"), F.lit(None).cast("long").alias("source_pos0"),
+    )
+    said = {
+        "assay_id": F.lit("m"), "group": F.when(F.col("sample").isin("s0", "s1"), "control").otherwise("treated"), "analysis_threshold": F.lit(0.5), "has_coverage": F.lit(False), "caller": F.lit("x"), "provenance_status": F.lit("user_declared"),
+        "candidate_rule": F.lit("A"), "source_emission_threshold": F.lit(0.05), "implicit_skip_policy": F.lit("low_probability"), "candidate_observations_complete": F.lit(True),
+    }
+    inputs = calls.select("sample").distinct().withColumns(said)
+    mapping = e.where("event_id % 13 <> 0").select(sample.alias("sample"), read.alias("read_id"), isoform.alias("isoform_id"))
+    low = F.col("user_id") * 1000 + 100
+    exon = lambda start: F.array(G.interval(start, start + 100))
+    each = F.array(F.struct(F.lit("a").alias("k"), exon(low).alias("exons")), F.struct(F.lit("b").alias("k"), exon(low + F.when(F.col("user_id") % 3 == 0, 200).otherwise(0)).alias("exons")))
+    genes = e.select("user_id").distinct().select("user_id", gene.alias("gene"), F.explode(each).alias("x"))
+    return calls, inputs, mapping, genes.select(F.concat(F.col("user_id").cast("string"), "x.k").alias("isoform_id"), "gene", F.lit("chr1").alias("chrom"), F.lit("+").alias("strand"), "x.exons")
+
+
 SQL = """
 WITH cat AS (SELECT p_partkey AS id, 't' || p_partkey AS name, p_brand AS gene, 'chr' || (p_partkey % 5) AS chrom,
                     CASE p_partkey % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END AS strand,
