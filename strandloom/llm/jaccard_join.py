@@ -272,7 +272,11 @@ def _links(members: DataFrame, block: int) -> DataFrame:
     up = bands.select("component", (F.col("band") - 1).alias("band"), F.col("k").alias("k_up"))
     down = bands.select("component", (F.col("band") + 1).alias("band"), F.col("k").alias("k_down"))
     cut = near.join(up, ["component", "band"], "left").join(down, ["component", "band"], "left")
-    placed = members.withColumn("band", band).join(cut, ["component", "band"], "left")
+    # A component may hold a third of all sets, so its members are dealt over salts.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    told = cut.select("*", salts)
+    salted = members.withColumn("band", band).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    placed = salted.join(told, ["component", "band", "salt"], "left")
     own = F.pmod(F.xxhash64("key"), F.col("k")).cast("int")
     every = lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1))
     none = F.array().cast("array<string>")
