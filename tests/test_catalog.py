@@ -131,7 +131,7 @@ def test_bed_round_trip_and_repair(spark):
     assert bed.format_bed(bed.parse(spark.createDataFrame([(plain,)], "value string"))).first().value == plain
     odd = GOOD.replace("\t10\t", "\t1200\t").replace("50,50,", "50,,60,")
     r = bed.parse(spark.createDataFrame([(odd,)], "value string"), lenient=True).first()
-    assert r.error is None and r.score == 1000 and [tuple(e) for e in r.exons] == [(100, 150), (200, 250)] and r.repairs == 2
+    assert r.error is None and r.score == 1000 and [tuple(e) for e in r.exons] == [(100, 150), (200, 250)] and r.repairs == 3  # score, empty size, size beyond the span
 
 
 def test_annotation(spark):
