@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAP_BITS = 28  # bits of the largest bitmap
+
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
@@ -45,6 +48,30 @@ def remove(*frames: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+class Bitmap:
+    """A bitmap over 64-bit numbers, made by Spark and held as one broadcast until it is released.
+
+    It has 16 bits a row, but no more than 2**MAP_BITS: beyond that false hits become frequent.
+    """
+
+    def __init__(self, rows: DataFrame, column: str) -> None:
+        self.bits = min(MAP_BITS, max(15, int(16 * rows.count()).bit_length()))
+        at = F.shiftrightunsigned(column, 64 - self.bits) + 1
+        found = rows.groupBy(F.bitmap_bucket_number(at).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+        marks = np.zeros((1 << self.bits) // 8, np.uint8)
+        for r in found.toLocalIterator():
+            marks[(r["at"] - 1) * 4096 : r["at"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+        self.marks = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def __call__(self, v: np.ndarray) -> np.ndarray:
+        at = v.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.marks.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def release(self) -> None:
+        """Once what was made with it is written, so that no lost task can ask for it again."""
+        self.marks.destroy()
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60, heavy: int = 512) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long); component is the least node.
 

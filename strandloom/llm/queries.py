@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, exact_dedup, hilbert_shards, jaccard_join, mil_quality, prefix_bpe, quality_rules, secret_scan, suffix_dedup, token_scan
+from . import best_fit, cover_dedup, exact_dedup, hilbert_shards, jaccard_join, lexical_search, mil_quality, prefix_bpe, quality_rules, secret_scan, spelling_groups, suffix_dedup, token_scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,5 +58,21 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(_documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, added=best_fit.added_tokens(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op2_secret_scan, op3_mil_quality, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit)}
-ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
+def op11_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup.cover_dedup(_documents(spark, sf_dir)).drop("kept")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(_documents(spark, sf_dir))
+
+
+_ALL = (
+    op1_hilbert_shards, op2_secret_scan, op3_mil_quality, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules, op7_jaccard_join, op8_token_scan, op9_prefix_bpe, op10_best_fit,
+    op11_cover_dedup, op12_lexical_search, op13_spelling_groups,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {"op5_exact_dedup": exact_dedup.ORACLE, "op6_quality_rules": quality_rules.ORACLE, "op11_cover_dedup": cover_dedup.ORACLE, "op12_lexical_search": lexical_search.ORACLE}
