@@ -310,7 +310,7 @@ WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all
 s AS (SELECT doc_id, r, i, array_to_string(w[i:i + 12], ' ') AS t FROM (SELECT doc_id, r, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
 m AS (SELECT t, min(doc_id) AS least FROM s GROUP BY t),
 g AS (SELECT DISTINCT r, i + k AS p FROM (SELECT r, i, unnest(range(0, 13)) AS k FROM s JOIN m ON m.t = s.t AND m.least < s.doc_id)),
-l AS (SELECT r, list(p) AS p FROM g GROUP BY r),
-k AS (SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed, list_filter(range(1, len(w) + 1), i -> p IS NULL OR NOT list_contains(p, i)) AS stay, w FROM d LEFT JOIN l ON l.r = d.r)
-SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(list_transform(stay, i -> w[i]), ' ')) AS kept_sha256 FROM k
+x AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+l AS (SELECT x.r, count(*) - count(g.p) AS n, string_agg(x, ' ' ORDER BY x.p) FILTER (WHERE g.p IS NULL) AS kept FROM x LEFT JOIN g ON g.r = x.r AND g.p = x.p GROUP BY x.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN l ON l.r = d.r
 """
