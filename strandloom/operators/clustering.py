@@ -10,7 +10,8 @@ other may hold it: against the greatest of its chain, against the chains of whic
 are held are joined with the structures that stay, which is as many rows as the mapping has.
 
 The result is order-free: structures without a container and all references stay, and a read belongs
-to every stayed structure that holds its own.
+to every stayed structure that holds its own.  No read is lost: a structure whose containers all end in others
+that are too far from its own protected end stays as well.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -244,20 +245,48 @@ def _apart(nodes: DataFrame, edges: DataFrame, ends: Ends) -> DataFrame:
     return j.where(~three & ~five).select("a", "b")
 
 
-def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(isoforms, mapping, unused) of reads and references (name, chrom, strand, tx_start, tx_end, exons, gene_id, score).
+def _roots(nodes: DataFrame, ends: Ends) -> tuple[DataFrame, DataFrame]:
+    """(roots, edges): the structures that stay, and (a, b) of every other one with each that holds it.
 
-    Loci without a reference are unused, and so are reads with a site that no strong site is near.
-    Unless ``ends`` says otherwise, 3' ends are counted within ``reach``.
+    Being held by *some* structure is not enough: that one may itself be held, and what holds it may be too far for
+    a protected end.  So structures that no stayed one holds are looked at again among themselves, until none is
+    left.  Each round settles at least the longest chain of every place; without such structures there is one round.
+    """
+    free, roots, edges = nodes, None, None
+    while True:
+        held = cut(held_spliced(free, ends).unionByName(held_single(free)).distinct())
+        fresh = cut(free.join(held, "id", "left_anti"))
+        roots = fresh if roots is None else roots.unionByName(fresh)
+        small = nodes.join(roots.select("id"), "id", "left_anti")
+        more = spliced_containers(small, fresh).unionByName(single_containers(small, fresh))
+        found = cut(_apart(nodes, more, ends).distinct())
+        edges = found if edges is None else edges.unionByName(found)
+        left = cut(free.join(held, "id", "left_semi").join(found.select(F.col("a").alias("id")).distinct(), "id", "left_anti"))
+        if left.limit(1).count() == 0:
+            return roots, edges
+        free = left
+
+
+def discover(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends | None = None) -> dict[str, DataFrame | dict[str, int]]:
+    """isoforms, mapping, unused (read_id, reason) and counts, of reads and references.
+
+    Inputs: name, chrom, strand, tx_start, tx_end, exons, gene_id, score.  A read is ``rare`` if a site of it has no
+    strong site near, ``unmatched`` if its locus has no reference; every other read belongs to an isoform.  The
+    counts are observed while the stages are written, and the job ends if a read is lost.  Unless ``ends`` says
+    otherwise, 3' ends are counted within ``reach``.
     """
     ends = Ends(three_reach=reach) if ends is None else ends
     cols = ["name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score"]
     both = reads.select(*cols, F.lit("read").alias("source")).unionByName(refs.select(*cols, F.lit("reference").alias("source")))
     both = both.dropDuplicates(["source", "name", "chrom", "strand", "exons"])
+    is_read = (F.col("source") == "read").cast("long")
+    seen, settled = Observation(), Observation()
     both = cut(both.withColumn("instance_id", F.monotonically_increasing_id()))
-    fixed = cut(correct_reads(both, least, reach).drop("locus_start"))
+    corrected = correct_reads(both, least, reach).drop("locus_start")
+    fixed = cut(corrected.observe(seen, F.coalesce(F.sum(is_read), F.lit(0)).alias("input_reads"), F.coalesce(F.sum(F.col("rare").cast("long")), F.lit(0)).alias("rare_reads")))
     kept = cut(loci(fixed.where("NOT rare"), ["chrom", "strand"]))
-    anchored = kept.join(kept.where("source = 'reference'").select(*LOCUS).distinct(), LOCUS, "left_semi")
+    places = kept.where("source = 'reference'").select(*LOCUS).distinct()
+    anchored = kept.join(places, LOCUS, "left_semi")
     chain = G.junction_positions("exons", "strand")
     t = anchored.withColumn("junctions", chain).withColumn("is_ref", F.col("source") == "reference")
     # Equal reads are one node; a reference is always its own.
@@ -269,17 +298,34 @@ def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: i
     else:
         t = t.withColumn("five_n", F.lit(0).cast("long"))
     t = cut(t)
-    nodes = t.groupBy("id").agg(F.max_by(F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref", "three", "three_n", "five", "five_n"), F.struct("score", "name")).alias("n")).select("id", "n.*").withColumn("length", G.total("exons"))
-    nodes = cut(nodes)
-    held = cut(held_spliced(nodes, ends).unionByName(held_single(nodes)))
-    roots, small = nodes.join(held, "id", "left_anti"), nodes.join(held, "id", "left_semi")
-    edges = _apart(nodes, spliced_containers(small, roots).unionByName(single_containers(small, roots)), ends).distinct()
+    body = F.struct("name", "chrom", "strand", "tx_start", "tx_end", "exons", "gene_id", "score", "locus_start", "junctions", "is_ref", "three", "three_n", "five", "five_n")
+    nodes = t.groupBy("id").agg(F.max_by(body, F.struct("score", "name")).alias("n"), F.sum((~F.col("is_ref")).cast("long")).alias("reads"))
+    nodes = cut(nodes.select("id", "reads", "n.*").withColumn("length", G.total("exons")))
+    roots, edges = _roots(nodes, ends)
     homes = edges.unionByName(roots.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    counted = homes.select(F.col("a").alias("id")).distinct().join(nodes.select("id", "reads"), "id")
+    homes = cut(homes)
+    counted.observe(settled, F.coalesce(F.sum("reads"), F.lit(0)).alias("represented_reads")).write.format("noop").mode("overwrite").save()
     title = F.when(F.col("is_ref"), F.col("name")).otherwise(G.structural_id(F.coalesce("gene_id", F.lit("none")), F.col("chrom"), F.col("strand"), F.col("exons")))
     isoforms = roots.withColumn("isoform_id", title)
     mapping = t.where("NOT is_ref").select(F.col("name").alias("read_id"), F.col("id").alias("a")).join(homes, "a").join(isoforms.select(F.col("id").alias("b"), "isoform_id"), "b").select("read_id", "isoform_id").distinct()
-    unused = reads.select(F.col("name").alias("read_id")).distinct().join(mapping, "read_id", "left_anti")
-    return isoforms.select("isoform_id", "gene_id", "chrom", "strand", "tx_start", "tx_end", "exons", "is_ref"), mapping, unused
+    alone = kept.where("source = 'read'").join(places, LOCUS, "left_anti").select(F.col("name").alias("read_id"), F.lit("unmatched").alias("reason"))
+    rare = fixed.where("rare").select(F.col("name").alias("read_id"), F.lit("rare").alias("reason"))
+    # A name with several alignments is used if any of them is.
+    unused = rare.unionByName(alone).groupBy("read_id").agg(F.min("reason").alias("reason")).join(mapping, "read_id", "left_anti")
+    counts = {**seen.get, **settled.get}
+    counts["unmatched_reads"] = alone.count()
+    counts["unused_reads"] = counts["rare_reads"] + counts["unmatched_reads"]
+    if counts["input_reads"] != counts["represented_reads"] + counts["unused_reads"]:
+        raise RuntimeError(f"reads do not add up: {counts}")
+    isoforms = isoforms.select("isoform_id", "gene_id", "chrom", "strand", "tx_start", "tx_end", "exons", "is_ref")
+    return {"isoforms": isoforms, "mapping": mapping, "unused": unused, "counts": counts}
+
+
+def junction_catalog(reads: DataFrame, refs: DataFrame, least: int = 5, reach: int = 10, ends: Ends | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(isoforms, mapping, unused) of :func:`discover`."""
+    found = discover(reads, refs, least, reach, ends)
+    return found["isoforms"], found["mapping"], found["unused"].select("read_id")
 
 
 def overlap_distances(tracks: DataFrame, weight: float = 0.5) -> DataFrame:
