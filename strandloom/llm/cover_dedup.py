@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import Bitmap, materialize, remove, with_id
 
 WINDOW = 13
-CHUNK = 2_000_000  # words of the documents that are combined before they ask others
+CHUNK = 500_000  # words of the documents that are combined before they ask others
 BUCKET = 1_000_000  # anchors or windows that meet in a task
 BLOCK = 1 << 22  # bytes of a text that are cut into words at a time
 # Perfect difference sets (fixed values): every difference modulo the period occurs.
