@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import clustering, counting, description, interval, modification, site_tables, tails
 from .plans import flow
-from .sources import bam, bed, manifests, sinks, tables
+from .sources import bam, bed, manifests, modbam, sinks, tables
 
 
 def _tracks(spark: SparkSession, path: str) -> DataFrame:
@@ -170,6 +170,14 @@ def mod_subsample(spark, a):
     sinks.tsv(modification.subsample(ids, a.seed, a.size, a.replicates), a.out, ["stratum", "replicate", "rank"])
 
 
+def mod_import_dorado(spark, a):
+    target = modbam.Target(a.code, a.rule, a.below_threshold)
+    observations, assay, audit = modbam.run(spark, a.reads, a.assay, a.sample, target, a.model, a.chemistry, a.caller_version, a.emission_threshold, a.min_mapq, a.lenient)
+    sinks.tsv(observations.select(*tables.OBSERVATION_COLUMNS), f"{a.out}.observations", ["chrom", "pos0", "strand", "read_id"])
+    sinks.text(spark, assay, f"{a.out}.assay")
+    sinks.text(spark, "".join(f"{k}\t{v}\n" for k, v in {"metric": "value", **audit}.items()), f"{a.out}.import_qc")
+
+
 def polya_aggregate(spark, a):
     rows = manifests.tail_manifest(spark, a.manifest)
     if a.reads:
@@ -182,7 +190,7 @@ def polya_aggregate(spark, a):
 
 
 COMMANDS = {"validate-bed": validate_bed, "gff2bigg": gff2bigg, "bam2bigg": bam2bigg, "export": export, "addgene": addgene, "clusterj": clusterj, "cluster": cluster, "count": count, "count-multi": count_multi, "desc": desc, "flow": full_flow}
-COMMANDS |= {"mod-aggregate": mod_aggregate, "mod-contrast": mod_contrast, "mod-site-summary": mod_site_summary, "mod-subsample": mod_subsample, "polya-aggregate": polya_aggregate}
+COMMANDS |= {"mod-import-dorado": mod_import_dorado, "mod-aggregate": mod_aggregate, "mod-contrast": mod_contrast, "mod-site-summary": mod_site_summary, "mod-subsample": mod_subsample, "polya-aggregate": polya_aggregate}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -205,6 +213,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--seed", type=int, default=1)
     p.add_argument("--size", type=int, default=100)
     p.add_argument("--replicates", type=int, default=1)
+    for name, value in (("assay", "dorado"), ("sample", "sample"), ("code", "A+a"), ("rule", modbam.ALL), ("model", "unknown"), ("chemistry", "unknown"), ("caller-version", "unknown")):
+        p.add_argument(f"--{name}", default=value)
+    p.add_argument("--emission-threshold", type=float)
+    p.add_argument("--below-threshold", action="store_true", help="candidates that a ? group omits are below the emission threshold")
+    p.add_argument("--min-mapq", type=int, default=0)
     a = p.parse_args(argv)
     COMMANDS[a.command](SparkSession.builder.appName("strandloom").getOrCreate(), a)
 

@@ -460,6 +460,35 @@ def oriented_bases(spark: SparkSession, d: str) -> DataFrame:
     return bases_at(sites, fasta_chunks(head.unionByName(body), 100), 100)
 
 
+BASES = """, q AS (SELECT doc_id, doc_id % 2 = 1 AS rev, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS s FROM documents WHERE text IS NOT NULL),
+b AS (SELECT doc_id, rev, s, unnest(range(1, length(s) + 1)) AS i FROM q),
+c AS (SELECT doc_id, rev, i, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN rev THEN -i ELSE i END) - 1 AS k FROM b WHERE substr(s, i, 1) = CASE WHEN rev THEN 'T' ELSE 'A' END),
+o AS (SELECT doc_id, rev, i + doc_id % 1000 - 1 + CASE WHEN i > 20 THEN 7 ELSE 0 END AS pos0, CASE WHEN k % 2 = 1 THEN 'explicit_probability' WHEN doc_id % 3 = 2 THEN 'unknown' ELSE 'implicit_below_emission_threshold' END AS state,
+CASE WHEN k % 2 = 1 THEN ((k // 2 * 37 + doc_id) % 256 + 0.5) / 256 END AS p FROM c WHERE i <= 20 OR i > 25)
+"""
+
+
+@query(BASES + """SELECT 'S::d' || doc_id AS read_id, CASE WHEN rev THEN '-' ELSE '+' END AS strand, state AS observation_state, count(*) AS calls, sum(pos0)::BIGINT AS places, round(sum(p), 6) AS probability FROM o GROUP BY ALL""")
+def modification_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Letters of texts as aligned reads with MM, ML and MN tags: every second A of a read is listed, the rest is told by the flag."""
+    from ..sources.modbam import Target, import_calls
+
+    q = S.table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.regexp_replace(F.upper("text"), "[^ACGT]", "").alias("s")).where("s <> ''")
+    reverse = F.col("doc_id") % 2 == 1
+    listed = F.floor(F.regexp_count("s", F.when(reverse, "T").otherwise("A")) / 2).cast("int")
+    n, flag = F.length("s"), F.element_at(F.array(F.lit(""), F.lit("."), F.lit("?")), (F.col("doc_id") % 3 + 1).cast("int"))
+    byte = lambda k: F.lpad(F.hex((k * 37 + F.col("doc_id")) % 256), 2, "0")
+    ml = F.unhex(F.array_join(F.transform(F.when(listed > 0, F.sequence(F.lit(0), listed - 1)).otherwise(F.array().cast("array<int>")), byte), ""))
+    # 20 aligned letters, 5 inserted ones, 12 skipped places, the rest aligned.
+    cigar = F.when(n <= 20, F.concat(n, F.lit("M"))).when(n <= 25, F.concat(F.lit("20M"), n - 20, F.lit("I"))).otherwise(F.concat(F.lit("20M5I12N"), n - 25, F.lit("M")))
+    rows = q.select(
+        F.lit("x").alias("path"), F.concat(F.lit("d"), "doc_id").alias("name"), F.when(reverse, 16).otherwise(0).alias("flag"), F.lit("chr1").alias("chrom"), (F.col("doc_id") % 1000).alias("start"), F.lit(60).alias("mapq"), cigar.alias("cigar"), F.col("s").alias("seq"),
+        F.concat(F.lit("A+a"), flag, F.repeat(F.lit(",1"), listed), F.lit(";")).alias("mm"), ml.alias("ml"), n.cast("long").alias("mn"), F.lit(None).cast("string").alias("tag_fault"), F.lit(1 << 40).alias("chrom_length"),
+    )
+    calls = import_calls(rows, "m", "S", Target("A+a")).observations
+    return _round(calls.groupBy("read_id", "strand", "observation_state").agg(F.count("*").alias("calls"), F.sum("pos0").alias("places"), F.sum("probability").alias("probability")), "probability")
+
+
 @query("""SELECT event_id AS read_id, CASE CAST(floor(value) AS BIGINT) % 4 WHEN 0 THEN 'anchor_not_found' WHEN 1 THEN 'estimation_failed' ELSE 'estimated' END AS status,
 CASE WHEN CAST(floor(value) AS BIGINT) % 4 > 1 THEN (CAST(floor(value) AS BIGINT) % 4 - 1)::DOUBLE END AS length FROM events""")
 def tail_tags(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import total
@@ -47,3 +47,8 @@ def escaped(column: str):
     for raw, out in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
         c = F.replace(c, F.lit(raw), F.lit(out))
     return c
+
+
+def text(spark: SparkSession, value: str, path: str) -> None:
+    """One short text as a folder with one file."""
+    spark.createDataFrame([(value.removesuffix("\n"),)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 OBSERVATION = (
     "assay_id string, sample string, read_id string, chrom string, pos0 long, strand string, mod_code string, probability double, observation_state string, context string, source_transcript_id string, source_pos0 long"
 )
+OBSERVATION_COLUMNS = [c.split()[0] for c in OBSERVATION.split(", ")]
 # Fixed tokens of the states of a call.
 EXPLICIT, IMPLICIT, UNKNOWN = "explicit_probability", "implicit_below_emission_threshold", "unknown"
 SITE_PROBABILITY = "transcript_id string, transcript_position long, read_index long, probability_modified double"
