@@ -7,9 +7,9 @@ length; among the open sequences that hold a piece under *every* constraint, the
 least weighted norm of what is left (``norm``) or the greatest weighted dot product of demand and
 rest (``dot``).
 
-All three can bind: a piece of nearly full length takes nearly all tiles, so that only ``SPARE_TILES``
-short ones may join it, and short documents meet the limit of documents before that of tokens.
-Weights favour tokens, since the number of sequences is what counts; the others break near ties.
+The capacities of documents and of attention are parameters, for kernels that have such limits, and bind
+then.  By default they follow from the lengths (:func:`loose`): no set of pieces that fits the tokens exceeds them, since
+a lower limit costs sequences, and their number is what counts.  Weights favour tokens; the others break near ties.
 
 Tokenising is one narrow stage, and only piece lengths are kept and packed.  Pieces of full
 length are sequences by themselves.  The others are dealt at random into groups of about
@@ -41,9 +41,7 @@ from .common import materialize, with_id
 
 GROUP = 20_000
 END_ID = 0
-DOCS = 64  # documents in a sequence
 TILE = 64  # tokens a side of an attention tile
-SPARE_TILES = 48  # tiles beyond those of one full document
 WEIGHTS = (1.0, 0.05, 0.05)
 
 
@@ -119,24 +117,40 @@ def tiles(length):
     return side * side
 
 
+def loose(lengths: dict[int, int], capacity: int) -> tuple[int, int]:
+    """(documents, tiles) that no sequence of ``capacity`` tokens exceeds, given how many pieces have each length.
+
+    The shortest pieces give the most documents.  A piece of n tokens needs at most (n / TILE + 1)^2 tiles; the squares
+    sum to those of one full piece at most, and what is linear to 2 * capacity / TILE and one for each document.
+    """
+    room, most = capacity, 0
+    for n in sorted(lengths):
+        k = min(lengths[n], room // n)
+        most, room = most + k, room - k * n
+        if k < lengths[n]:
+            break
+    return max(1, most), tiles(capacity) + 2 * -(-capacity // TILE) + most
+
+
 def pack(
-    docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, max_docs: int = DOCS, max_attention: int | None = None,
+    docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, max_docs: int | None = None, max_attention: int | None = None,
     weights: tuple[float, float, float] = WEIGHTS, score: str = "norm", group: int = GROUP, added: dict[str, int] | None = None,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece.
 
-    ``max_attention``: in tiles; by default those of one full piece and ``SPARE_TILES``.
+    ``max_docs``, ``max_attention`` (in tiles): by default what any full sequence can need.
     ``added``: tokens that stand for themselves wherever a text holds them, from :func:`added_tokens`.
 
     A piece that breaks ``max_attention`` by itself is an error: nothing could hold it.
     """
-    most = tiles(capacity) + SPARE_TILES if max_attention is None else max_attention
-    caps, factor = np.array([capacity, max_docs, most], dtype=float), np.array(weights)
     made = materialize(pieces(docs, vocabulary, pattern, capacity, added), "pieces")
     made = made.withColumn("id", F.monotonically_increasing_id())
     full = made.where(F.col("length") == capacity)
     part = made.where(F.col("length") < capacity)
-    n = part.count()
+    lengths = {r["length"]: r["n"] for r in part.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row a length
+    n, (documents, most) = sum(lengths.values()), loose(lengths, capacity)
+    documents, most = documents if max_docs is None else max_docs, most if max_attention is None else max_attention
+    caps, factor = np.array([capacity, documents, most], dtype=float), np.array(weights)
     if max_attention is not None and made.where(tiles(F.col("length")) > most).limit(1).count():
         raise ValueError("a piece exceeds max_attention")
     groups = max(1, -(-n // group))
