@@ -2,7 +2,7 @@
 
 Base spans come from three patterns.  Weak parts (a bare user or key name, a long random-looking
 string, an endpoint) say little alone.  A weak part is reported only if its complements lie in
-the same scope: the same paragraph, with at most ``REACH`` code points between the two intervals.
+the same scope: the same paragraph or one next to it, with at most ``REACH`` code points between the two intervals.
 An identifier needs a secret, a secret needs an identifier, an endpoint needs both; base spans
 count as complements (access: identifier; assign and hex: secret) and are always reported.
 
@@ -83,8 +83,9 @@ def _listed(a: Column) -> Column:
 def linked(events: Column) -> Column:
     """Of sorted ``events`` (parts, and breaks of kind ``SCOPE``) the weak parts with complements.
 
-    A part's place is its scope times 2**32 plus an offset: the greatest end of a complement so far
-    is then in this scope or an earlier one, and likewise the least start to come.
+    A part's place is its paragraph times 2**32 plus an offset: the greatest end of a complement so far is
+    then in this paragraph or an earlier one, and likewise the least start to come.  No part crosses a break, so
+    these are also the nearest ones.
     """
     none, wide = F.lit(-1).cast("long"), F.lit(1 << 32)
     far = F.lit((1 << 62))
@@ -103,8 +104,9 @@ def linked(events: Column) -> Column:
     def judge(parts: Column, before: Column, behind: Column) -> Column:
         def near(x: Column, i: Column, kind: str) -> Column:
             # Neighbours only: the part itself is never its own complement, as its kind differs.
-            ahead = F.get(before, i)[kind] >= F.greatest(x["scope"] * wide, place(x, "start") - REACH)
-            later = F.get(behind, F.size(parts) - 1 - i)[kind] <= F.least(x["scope"] * wide + (1 << 32) - 1, place(x, "end") + REACH)
+            last, first = F.get(before, i)[kind], F.get(behind, F.size(parts) - 1 - i)[kind]
+            ahead = (last >= F.greatest(x["scope"] - 1, F.lit(0)) * wide) & (last % wide >= x["part"]["start"] - REACH)
+            later = (first < (x["scope"] + 2) * wide) & (first % wide <= x["part"]["end"] + REACH)
             return ahead | later
 
         def keep(x: Column, i: Column) -> Column:
