@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import clustering, counting, description, interval, modification, site_tables, tails
 from .plans import flow
-from .sources import bam, bed, manifests, modbam, sinks, tables
+from .sources import annotation, bam, bed, lines, manifests, modbam, sinks, tables
 
 
 def _tracks(spark: SparkSession, path: str) -> DataFrame:
@@ -38,20 +38,16 @@ def validate_bed(spark, a):
     good, bad = bed.read(spark, a.reads, a.lenient)
     print({"tracks": good.count(), "rejected": bad.count()})
     if a.out:
-        sinks.tsv(bad.select("name", "error", sinks.escaped("raw").alias("line")), a.out, ["name"])
+        sinks.tsv(bed.rejects(bad), a.out, ["source_path", "line"])
 
 
 def gff2bigg(spark, a):
-    rows = bed.parse_annotation(spark.read.text(a.refs), a.gene_key)
-    bad = rows.where("error IS NOT NULL").select("name", "error")
-    first = bad.head()
-    if first and not a.lenient:
-        raise SystemExit(f"{a.refs}: {first.name}: {first.error}")
-    if first:
-        sinks.tsv(bad, f"{a.out}.rejected", ["name"])
-    t = rows.where("error IS NULL")
-    full = t.withColumns({"score": F.lit(0), "thick_start": F.col("tx_start"), "thick_end": F.col("tx_end"), "item_rgb": F.lit("0")})
-    full = full.withColumns({c: F.lit("none") for c in bed.EXTRA if c != "gene_id"}).withColumn("n_extra", F.lit(8))
+    t, rejected = annotation.read(spark, a.refs, "auto", a.gene_key, skip=a.lenient)
+    if a.lenient:
+        sinks.tsv(annotation.reject_lines(rejected), f"{a.out}.rejected", ["source_path", "anchor_line", "kind"])
+    frames = F.concat(F.array_join(F.transform("exons", lambda e: F.lit("-1")), ","), F.lit(","))
+    full = t.withColumns({"score": F.lit(100), "thick_start": F.lit(0), "thick_end": F.lit(0), "item_rgb": F.lit("0")})
+    full = full.withColumns({c: F.lit("none") for c in bed.EXTRA if c != "gene_id"}).withColumns({"exon_frames": frames, "ttype": F.lit("isoform_anno"), "n_extra": F.lit(8)})
     bed.format_bed(full).write.mode("overwrite").text(a.out)
 
 
@@ -145,8 +141,7 @@ def mod_aggregate(spark, a):
     mapping = manifests.mapping_of_samples(tables.read_isoform_pairs(spark.read.text(a.mapping)))
     chunks = None
     if a.fasta:
-        line = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("i"))
-        chunks = tables.fasta_chunks(spark.read.text(a.fasta).select(F.col("_metadata.file_path").alias("file"), line.alias("line_no"), "value"))
+        chunks = tables.cut_chunks(lines.sequences(spark, a.fasta))
     gates = site_tables.Gates(strict=a.strict, min_callable=a.min_callable, allow_low_join=a.allow_low_join)
     out = site_tables.aggregate(calls, inputs, mapping, _isoforms(spark, a.refs), coverage, chunks, gates)
     order = {"join_qc": ["assay_id", "sample"], "site_join_qc": ["assay_id", "sample", "chrom", "pos0"], "sites": ["assay_id", "sample", "gene", "isoform_id", "chrom", "pos0"], "design": ["assay_id", "sample", "gene", "isoform_id", "site_id"]}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..schema import EXTRA, INTERVALS
+from .lines import numbered
 
 
 def _numbers(field: Column) -> Column:
@@ -19,7 +20,7 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
 
     Strict: any fault is an error.  Lenient: a score beyond 1000 is 1000, none is 0, empty list items
     are dropped, and a block's end is cut to the span; ``repairs`` counts the kinds that a line needed.
-    ``line`` numbers the lines in order, with gaps.
+    ``path`` and ``line`` pass if the lines have them; otherwise ``line`` numbers them in order, with gaps.
     """
     v = F.rtrim(F.col("value"))
     rows = lines.where((F.trim("value") != "") & ~F.ltrim(F.col("value")).startswith("#")).withColumn("raw", v)
@@ -48,10 +49,10 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
     bad_score = (score.isNull() | (score < 0) | (score > 1000)) if not lenient else F.lit(False)
     thick = ((num(6) == 0) & (num(7) == 0)) | ((num(6) >= start) & (num(7) <= end) & (num(6) <= num(7)))
     checks = [
-        (F.size("f") < 12, "columns"), (F.coalesce(at(3), F.lit("")) == "", "name"), (start.isNull() | end.isNull() | (start < 0) | (start > end), "span"), (bad_score, "score"),
+        (F.size("f") < 12, "columns"), (start.isNull() | end.isNull() | (start < 0) | (start > end), "span"), (bad_score, "score"),
         (~at(5).isin("+", "-", "."), "strand"), (~F.coalesce(thick, F.lit(False)), "thick"),
         ((F.size("sizes") != num(9)) | (F.size("starts") != num(9)) | num(9).isNull() | (num(9) < 1), "block_count"), (~sound | ~rising, "blocks"),
-        ((F.get(F.col("exons"), 0)["start"] != start) | (F.element_at("exons", -1)["end"] != end), "bounds"),
+        ((F.get(F.col("exons"), 0)["start"] != start) | (F.element_at("exons", -1)["end"] != end), "bounds"), (F.trim(F.coalesce(at(3), F.lit(""))) == "", "name"),
     ]
     error = F.coalesce(*[F.when(F.coalesce(c, F.lit(True)), F.lit(k)) for c, k in checks])
     extra = [at(12 + i).alias(c) for i, c in enumerate(EXTRA)]
@@ -60,14 +61,23 @@ def parse(lines: DataFrame, lenient: bool = False) -> DataFrame:
         at(0).alias("chrom"), at(5).alias("strand"), start.alias("tx_start"), end.alias("tx_end"), at(3).alias("name"), (fixed if lenient else score).cast("int").alias("score"),
         num(6).alias("thick_start"), num(7).alias("thick_end"), at(8).alias("item_rgb"), F.col("exons").cast(INTERVALS).alias("exons"), *extra, tail.alias("extra_tail"),
         F.greatest(F.size("f") - 12, F.lit(0)).alias("n_extra"), error.alias("error"), (repairs if lenient else F.lit(0)).alias("repairs"), F.col("raw"),
-        F.monotonically_increasing_id().alias("line"),
+        *([F.col("path"), F.col("line")] if "path" in lines.columns else [F.monotonically_increasing_id().alias("line")]),
     )
 
 
 def read(spark: SparkSession, path: str, lenient: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(tracks, rejected lines with their error)."""
-    rows = parse(spark.read.text(path), lenient)
-    return sound(rows).drop("error", "raw"), rows.where("error IS NOT NULL AND line >= 0").select("name", "error", "raw")
+    """(tracks, rejected lines with path, line, name, error, raw); only the second counts the lines."""
+    told = parse(numbered(spark, path), lenient).where("error IS NOT NULL AND line >= 0")
+    return sound(parse(spark.read.text(path), lenient)).drop("error", "raw"), told.select("path", "line", "name", "error", "raw")
+
+
+def rejects(bad: DataFrame) -> DataFrame:
+    """The audit table of rejected reads: source_path, line, read_id, kind (parse or identity), reason."""
+    from .sinks import escaped
+
+    read_id = F.nullif(F.trim("name"), F.lit(""))
+    kind = F.when(F.col("error") == "name", "identity").otherwise("parse")
+    return bad.select(escaped("path").alias("source_path"), "line", F.when(read_id.isNotNull(), escaped("name")).alias("read_id"), kind.alias("kind"), F.col("error").alias("reason"))
 
 
 def sound(parsed: DataFrame) -> DataFrame:

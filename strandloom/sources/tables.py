@@ -105,11 +105,15 @@ def m6anet_calls(probabilities: DataFrame, reads: DataFrame, transcripts: DataFr
 
 
 def fasta_chunks(lines: DataFrame, width: int = 4096) -> DataFrame:
-    """chrom, chunk, bases: a reference cut into rows of ``width`` bases, from (file, line_no, value)."""
+    """chrom, chunk, bases from short sequences given as (file, line_no, value); whole files go by :func:`lines.sequences`."""
     order = Window.partitionBy("file").orderBy("line_no")
     named = lines.withColumn("chrom", F.last(F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S+)", 1)), ignorenulls=True).over(order)).where(~F.col("value").startswith(">"))
     within = Window.partitionBy("file", "chrom").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    placed = named.withColumn("at", F.coalesce(F.sum(F.length("value")).over(within), F.lit(0)))
+    return cut_chunks(named.withColumn("at", F.coalesce(F.sum(F.length("value")).over(within), F.lit(0))), width)
+
+
+def cut_chunks(placed: DataFrame, width: int = 4096) -> DataFrame:
+    """chrom, chunk, bases: sequences cut into rows of ``width`` bases, from pieces (chrom, at, value)."""
     first, last = F.floor(F.col("at") / width), F.floor((F.col("at") + F.length("value") - 1) / width)
     cut = placed.where(F.length("value") > 0).select("chrom", "at", "value", F.explode(F.sequence(first, last)).alias("chunk"))
     low = F.greatest(F.col("chunk") * width - F.col("at"), F.lit(0))

@@ -21,7 +21,8 @@ def test_commands(spark, tmp_path):
     assert [x for x in _text(o / "c/read_to_isoform") if "::" not in x and x != "read_id\tisoform_id"] == [f"r{i}\tref" for i in range(3)]
     main(["export", "--reads", f, "--out", f"{o}/gtf"])
     main(["gff2bigg", "--refs", f"{o}/gtf", "--out", f"{o}/bed"])
-    assert _text(o / "bed")[0].split("\t")[:6] == REF.split("\t")[:6]
+    back = _text(o / "bed")[0].split("\t")
+    assert back[:4] + back[5:6] == REF.split("\t")[:4] + ["+"] and back[4] == "100" and back[15:18] == ["-1,-1,", "isoform_anno", "G1"]
     main(["addgene", "--reads", r, "--refs", f, "--out", f"{o}/g"])
     assert sorted(set(_text(o / "g")) - {"name\tgenes"}) == [f"r{i}\tG1" for i in range(3)]
     main(["flow", "--reads", str(tmp_path / "m.tsv"), "--refs", f, "--out", f"{o}/flow"])
