@@ -162,7 +162,7 @@ def mod_site_summary(spark, a):
 def mod_subsample(spark, a):
     pairs = tables.read_isoform_pairs(spark.read.text(a.mapping))
     ids = pairs.join(_isoforms(spark, a.refs).select("isoform_id", "gene"), "isoform_id").select(F.col("gene").alias("stratum"), "read_id").distinct()
-    sinks.tsv(modification.subsample(ids, a.seed, a.size, a.replicates), a.out, ["stratum", "replicate", "rank"])
+    sinks.tsv(modification.subsample(ids, a.seed, a.size, a.replicates, a.mode == "independent"), a.out, ["stratum", "replicate", "rank"])
 
 
 def mod_import_dorado(spark, a):
@@ -208,6 +208,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--seed", type=int, default=1)
     p.add_argument("--size", type=int, default=100)
     p.add_argument("--replicates", type=int, default=1)
+    p.add_argument("--mode", choices=("disjoint", "independent"), default="disjoint")
     for name, value in (("assay", "dorado"), ("sample", "sample"), ("code", "A+a"), ("rule", modbam.ALL), ("model", "unknown"), ("chemistry", "unknown"), ("caller-version", "unknown")):
         p.add_argument(f"--{name}", default=value)
     p.add_argument("--emission-threshold", type=float)

@@ -76,11 +76,24 @@ def condition_contrasts(full: DataFrame, groups: DataFrame, left: str, right: st
     return ok.groupBy("gene", "isoform_id", *SITE).agg(F.count("*").alias("n_samples"), (mean(left) - mean(right)).alias("difference"))
 
 
-def subsample(ids: DataFrame, seed: int, size: int, replicates: int) -> DataFrame:
-    """(read_id, replicate): disjoint seeded samples, by rank of a digest within each stratum."""
-    rank = F.row_number().over(Window.partitionBy("stratum").orderBy(rank_score(seed, F.col("read_id")), "read_id"))
-    ranked = ids.withColumn("rank", rank).where(F.col("rank") <= size * replicates)
-    return ranked.withColumn("replicate", F.floor((F.col("rank") - 1) / size).cast("long")).select("stratum", "read_id", "rank", "replicate")
+def subsample(ids: DataFrame, seed: int, size: int, replicates: int, independent: bool = False, salts: int = 32) -> DataFrame:
+    """stratum, read_id, rank (from 1), replicate (from 0): seeded samples of each stratum's distinct reads.
+
+    Reads are ranked by a digest, so samples do not depend on the order of rows.  Disjoint replicates follow one another
+    in one ranking; independent ones have rankings of their own and may share reads.  A stratum may hold most of all
+    reads, so it is ranked in two steps: its salts first, of which only the rows that can still win go on.
+    """
+    key = ["stratum", "ranking"]
+    score = lambda r: rank_score(seed, F.col("read_id"), r)
+    draws = [(r, score(r)) for r in range(replicates)] if independent else [(0, score(None))]
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("ranking"), s.alias("score")) for r, s in draws])).alias("d")
+    most = size if independent else size * replicates
+    rows = ids.select("stratum", "read_id").distinct().select("stratum", "read_id", each).select("stratum", "read_id", "d.ranking", "d.score")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("read_id"), F.lit(salts)))
+    for by in ([*key, "salt"], key):
+        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("score", "read_id"))).where(F.col("rank") <= most)
+    replicate = F.col("ranking") if independent else F.floor((F.col("rank") - 1) / size)
+    return rows.select("stratum", "read_id", "rank", replicate.cast("long").alias("replicate"))
 
 
 def tail_summary(calls: DataFrame, mapping: DataFrame, universe: DataFrame) -> DataFrame:

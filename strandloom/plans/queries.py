@@ -405,12 +405,25 @@ def seeded_ranks(spark: SparkSession, d: str) -> DataFrame:
     return _long(o.withColumn("rank", rank).where("rank <= 60").withColumn("replicate", F.floor((F.col("rank") - 1) / 20)), "rank", "replicate")
 
 
-@query()
+DRAW = r""", sb AS (SELECT o_custkey % 10 AS stratum, CAST(o_orderkey AS VARCHAR) AS read_id FROM orders)
+"""
+
+
+@query(DRAW + r"""SELECT stratum, read_id, r::INTEGER AS rank, (r - 1) // 20 AS replicate FROM (SELECT stratum, read_id, row_number() OVER (PARTITION BY stratum
+ORDER BY sha256('subsample-v1\x00\x07\x00\x00\x00\x00\x00\x00\x00\x00'::BLOB || encode(read_id)), read_id) AS r FROM sb) WHERE r <= 60""")
 def seeded_subsample(spark: SparkSession, d: str) -> DataFrame:
     o = S.table(spark, d, "orders").select((F.col("o_custkey") % 10).alias("stratum"), F.col("o_orderkey").cast("string").alias("read_id"))
     return modification.subsample(o, 7, 20, 3)
 
 
+@query(DRAW + r"""SELECT stratum, read_id, r::INTEGER AS rank, k::BIGINT AS replicate FROM (SELECT stratum, read_id, k, row_number() OVER (PARTITION BY stratum, k ORDER BY sha256('subsample-v1\x00\x07\x00\x00\x00\x00\x00\x00\x00'::BLOB
+|| CASE k WHEN 0 THEN '\x00'::BLOB WHEN 1 THEN '\x01'::BLOB ELSE '\x02'::BLOB END || '\x00\x00\x00\x00\x00\x00\x00\x00'::BLOB || encode(read_id)), read_id) AS r FROM sb, (SELECT unnest(range(3)) AS k)) WHERE r <= 50""")
+def independent_subsamples(spark: SparkSession, d: str) -> DataFrame:
+    """Three samples of 50 reads of each stratum, drawn apart from each other."""
+    o = S.table(spark, d, "orders").select((F.col("o_custkey") % 10).alias("stratum"), F.col("o_orderkey").cast("string").alias("read_id"))
+    return modification.subsample(o, 7, 50, 3, independent=True)
+
+
 @query("SELECT name FROM rd WHERE NOT EXISTS (SELECT 1 FROM cat c WHERE c.name = rd.part AND c.n = 3)")
 def unrepresented_reads(spark: SparkSession, d: str) -> DataFrame:
     return S.reads(spark, d).join(S.catalog(spark, d).where("n = 3").select(F.col("name").alias("part")), "part", "left_anti").select("name")
