@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import clustering, counting, description, interval, modification, site_tables, tails
 from .plans import flow
-from .sources import annotation, bam, bed, lines, manifests, modbam, sinks, tables
+from .sources import annotation, bam, bed, lines, m6anet, manifests, modbam, sinks, tables
 
 
 def _tracks(spark: SparkSession, path: str) -> DataFrame:
@@ -165,14 +165,23 @@ def mod_subsample(spark, a):
     sinks.tsv(modification.subsample(ids, a.seed, a.size, a.replicates, a.mode == "independent"), a.out, ["stratum", "replicate", "rank"])
 
 
-def mod_import_dorado(spark, a):
-    target = modbam.Target(a.code, a.rule, a.below_threshold)
-    observations, assay, audit = modbam.run(spark, a.reads, a.assay, a.sample, target, a.model, a.chemistry, a.caller_version, a.emission_threshold, a.min_mapq, a.lenient)
+def _imported(spark, a, observations, assay, audit) -> None:
+    """Calls, metadata and audit of an import, as the aggregate reads them."""
     sinks.tsv(observations.select(*tables.OBSERVATION_COLUMNS), f"{a.out}.observations", ["chrom", "pos0", "strand", "read_id"])
     sinks.text(spark, assay, f"{a.out}.assay")
     sinks.text(spark, "".join(f"{k}\t{v}\n" for k, v in {"metric": "value", **audit}.items()), f"{a.out}.import_qc")
 
 
+def mod_import_m6anet(spark, a):
+    rule = "DRACH" if a.rule == modbam.ALL else a.rule
+    _imported(spark, a, *m6anet.run(spark, a.indiv, a.read_map, a.refs, a.assay, a.sample, a.model, a.caller_version, rule, a.data_info, a.site_proba, a.min_reads, a.read_threshold))
+
+
+def mod_import_dorado(spark, a):
+    target = modbam.Target(a.code, a.rule, a.below_threshold)
+    _imported(spark, a, *modbam.run(spark, a.reads, a.assay, a.sample, target, a.model, a.chemistry, a.caller_version, a.emission_threshold, a.min_mapq, a.lenient))
+
+
 def polya_aggregate(spark, a):
     rows = manifests.tail_manifest(spark, a.manifest)
     if a.reads:
@@ -185,13 +194,13 @@ def polya_aggregate(spark, a):
 
 
 COMMANDS = {"validate-bed": validate_bed, "gff2bigg": gff2bigg, "bam2bigg": bam2bigg, "export": export, "addgene": addgene, "clusterj": clusterj, "cluster": cluster, "count": count, "count-multi": count_multi, "desc": desc, "flow": full_flow}
-COMMANDS |= {"mod-import-dorado": mod_import_dorado, "mod-aggregate": mod_aggregate, "mod-contrast": mod_contrast, "mod-site-summary": mod_site_summary, "mod-subsample": mod_subsample, "polya-aggregate": polya_aggregate}
+COMMANDS |= {"mod-import-dorado": mod_import_dorado, "mod-import-m6anet": mod_import_m6anet, "mod-aggregate": mod_aggregate, "mod-contrast": mod_contrast, "mod-site-summary": mod_site_summary, "mod-subsample": mod_subsample, "polya-aggregate": polya_aggregate}
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="strandloom")
     p.add_argument("command", choices=COMMANDS)
-    for name in ("reads", "refs", "mapping", "manifest", "specs", "fasta", "out"):
+    for name in ("reads", "refs", "mapping", "manifest", "specs", "fasta", "out", "indiv", "read-map", "data-info", "site-proba"):
         p.add_argument(f"--{name}")
     p.add_argument("--format", choices=("gtf", "gff3", "table"), default="gtf")
     p.add_argument("--gene-key", default="gene_id")
@@ -212,6 +221,8 @@ def main(argv: list[str] | None = None) -> None:
     for name, value in (("assay", "dorado"), ("sample", "sample"), ("code", "A+a"), ("rule", modbam.ALL), ("model", "unknown"), ("chemistry", "unknown"), ("caller-version", "unknown")):
         p.add_argument(f"--{name}", default=value)
     p.add_argument("--emission-threshold", type=float)
+    p.add_argument("--read-threshold", type=float)
+    p.add_argument("--min-reads", type=int)
     p.add_argument("--below-threshold", action="store_true", help="candidates that a ? group omits are below the emission threshold")
     p.add_argument("--min-mapq", type=int, default=0)
     a = p.parse_args(argv)
