@@ -70,11 +70,20 @@ def addgene(spark, a):
 
 
 def clusterj(spark, a):
-    isoforms, mapping, unused = clustering.junction_catalog(_tracks(spark, a.reads), _tracks(spark, a.refs), a.support, a.reach)
+    found = clustering.discover(_tracks(spark, a.reads), _tracks(spark, a.refs), a.support, a.reach)
+    isoforms, mapping = found["isoforms"], found["mapping"]
     t = isoforms.withColumnRenamed("isoform_id", "name").withColumns({"score": F.lit(0), "thick_start": F.col("tx_start"), "thick_end": F.col("tx_end"), "item_rgb": F.lit("0"), "n_extra": F.lit(8)})
     bed.format_bed(t.withColumns({c: F.lit("none") for c in bed.EXTRA if c != "gene_id"})).write.mode("overwrite").text(f"{a.out}/isoforms")
     sinks.tsv(mapping, f"{a.out}/read_to_isoform", ["read_id", "isoform_id"])
-    sinks.tsv(unused, f"{a.out}/unused", ["read_id"])
+    sinks.tsv(found["unused"], f"{a.out}/unused", ["read_id"])
+    _summary(spark, found["counts"], mapping, f"{a.out}/summary")
+
+
+def _summary(spark, counts: dict[str, int], mapping: DataFrame, path: str) -> None:
+    """What became of the reads; the counts add up, or discovery has ended with an error."""
+    told = {"metric": "value", **counts, "mapping_rows": mapping.count()}
+    print(" ".join(f"{k}={v}" for k, v in told.items() if k != "metric"))
+    sinks.text(spark, "".join(f"{k}\t{v}\n" for k, v in told.items()), path)
 
 
 def cluster(spark, a):
@@ -115,6 +124,7 @@ def full_flow(spark, a):
     out = flow.run(_samples(spark, a.reads), _tracks(spark, a.refs), flow.Options(site_support=a.support, site_reach=a.reach, junction_offset=a.offset))
     for name, order in (("unique", ["read_id"]), ("unused", ["read_id"]), ("counts", ["gene", "isoform_id"]), ("classes", ["isoform_id", "gene"]), ("classes12", ["isoform_id"]), ("fusions", ["isoform_id"]), ("usage", ["gene", "isoform_id", "sample"])):
         sinks.tsv(out[name], f"{a.out}/{name}", order)
+    _summary(spark, out["read_counts"], out["mapping"], f"{a.out}/summary")
 
 
 def _isoforms(spark: SparkSession, path: str) -> DataFrame:
@@ -190,7 +200,7 @@ def polya_aggregate(spark, a):
     mapping = manifests.mapping_of_samples(tables.read_isoform_pairs(spark.read.text(a.mapping)))
     out = tails.aggregate(manifests.read_tails(spark, rows), inputs, mapping, _isoforms(spark, a.refs))
     for name, by in (("reads", ["sample", "read_id"]), ("qc", ["sample"]), ("isoforms", ["sample", "gene", "isoform_id"])):
-        sinks.tsv(out[name], f"{a.out}/{name}", by)
+        sinks.tsv(out[name], f"{a.out}/{name}", by, decimals=6)
 
 
 COMMANDS = {"validate-bed": validate_bed, "gff2bigg": gff2bigg, "bam2bigg": bam2bigg, "export": export, "addgene": addgene, "clusterj": clusterj, "cluster": cluster, "count": count, "count-multi": count_multi, "desc": desc, "flow": full_flow}

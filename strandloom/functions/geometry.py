@@ -102,11 +102,14 @@ def rebuild_exons(start: Column, end: Column, junctions: Column) -> Column:
     return F.when((start < end) & (n > 0) & (n % 2 == 0) & inside & rising, exons)
 
 
+NOVEL = "tc_novel_v1:"  # fixed beginning of ids that are made, not given
+
+
 def structural_id(gene: Column, chrom: Column, strand: Column, exons: Column) -> Column:
     """An id that tells structures apart: hex gene, hex chromosome, strand letter, exons."""
     letter = F.when(strand == "+", "p").when(strand == "-", "m").otherwise("u")
     parts = F.array_join(F.transform(exons, lambda e: F.concat_ws("-", e["start"].cast("string"), e["end"].cast("string"))), ";")
-    return F.concat_ws(":", F.lit("tc_novel_v1"), F.lower(F.hex(F.encode(gene, "utf-8"))), F.lower(F.hex(F.encode(chrom, "utf-8"))), letter, parts)
+    return F.concat(F.lit(NOVEL), F.concat_ws(":", F.lower(F.hex(F.encode(gene, "utf-8"))), F.lower(F.hex(F.encode(chrom, "utf-8"))), letter, parts))
 
 
 def gene_tokens(field: Column | str) -> Column:

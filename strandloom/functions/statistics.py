@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Z95 = 1.959963984540054  # the normal quantile of a 95 % interval
@@ -33,3 +33,19 @@ def rank_score(seed: int, key: Column, replicate: int | None = None, domain: byt
         parts.append(replicate.to_bytes(8, "little"))
     head = b"".join(parts) + b"\0"
     return F.sha2(F.concat(F.lit(bytearray(head)), F.encode(key, "utf-8")), 256)
+
+
+def quantiles(rows: DataFrame, keys: list[str], value: str, at: dict[str, float]) -> DataFrame:
+    """``keys`` and a column for each entry of ``at``: exact quantiles that interpolate linearly, NULL values left out.
+
+    Equal values are counted before anything is ordered, and running sums of counts tell which value has a rank: a
+    window of distinct values that can spill, where an aggregate would hold a group in one buffer.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*keys).orderBy(value)
+    told = counts.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
+    rank = {name: (F.col("all") - 1) * q for name, q in at.items()}
+    has = lambda k: F.min(F.when(F.col("upto") > k, F.col(value)))
+    ends = [e for name, r in rank.items() for e in (has(F.floor(r)).alias(f"{name}_low"), has(F.ceil(r)).alias(f"{name}_high"), F.max(r - F.floor(r)).alias(f"{name}_part"))]
+    between = lambda name: F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * F.col(f"{name}_part")
+    return told.groupBy(*keys).agg(*ends).select(*keys, *[between(name).alias(name) for name in at])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.statistics import quantiles
 from ..sources import tables
 from .clustering import cut
 from .site_tables import unique_mapping
@@ -39,14 +40,18 @@ def aggregate(calls: DataFrame, inputs: DataFrame, mapping: DataFrame, isoforms:
     assigned = unique_mapping(mapping, isoforms).join(inputs, "sample", "left")
     assigned = tables._must(assigned, c("caller").isNull(), "a mapping names an unknown sample")
     missing = F.when(c("caller") == "dorado", "missing_bam_read").otherwise("missing_nanopolish_read")
-    reads = cut(assigned.join(calls, ["sample", "read_id"], "left").select(
+    joined = assigned.join(calls, ["sample", "read_id"], "left")
+    if "conflict" in calls.columns:
+        joined = tables._must(joined, F.coalesce("conflict", F.lit(False)), "conflicting tail tags in primary records of an assigned read")
+    reads = cut(joined.select(
         "sample", "group", "gene", "isoform_id", "read_id", c("raw").alias("dorado_pt"), c("length").alias("polya_length_nt"), F.coalesce("status", missing).alias("status"), "caller",
         c("raw_length").alias("nanopolish_polya_length_nt"), c("qc_tag").alias("nanopolish_qc_tag"),
     ))
     length = c("polya_length_nt")
-    q = F.percentile(length, [0.25, 0.5, 0.75])
-    stats = [F.avg(length), q[1], q[0], q[2], F.min(length), F.max(length), F.stddev_samp(length)]
-    per = reads.groupBy("sample", "isoform_id").agg(*_counts(), *[s.alias(k) for s, k in zip(stats, LENGTHS)])
+    stats = {"polya_mean_nt": F.avg(length), "polya_min_nt": F.min(length), "polya_max_nt": F.max(length), "polya_stddev_nt": F.stddev_samp(length)}
+    per = reads.groupBy("sample", "isoform_id").agg(*_counts(), *[s.alias(k) for k, s in stats.items()])
+    ranks = quantiles(reads, ["sample", "isoform_id"], "polya_length_nt", {"polya_median_nt": 0.5, "polya_q25_nt": 0.25, "polya_q75_nt": 0.75})
+    per = per.join(ranks, ["sample", "isoform_id"], "left")
     zero = [x for x in COUNTS if x != "polya_fraction"] + ["missing_nanopolish_reads", "qc_failed_reads"]
     # One row a sample beside all isoforms: the list of samples rides in each row, so no product is planned.
     listed = inputs.agg(F.collect_list(F.struct("sample", "group", "caller")).alias("s")).first()["s"]

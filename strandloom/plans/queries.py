@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.statistics import rank_score
-from ..operators import clustering, counting, description, interval, modification, site_tables
+from ..operators import clustering, counting, description, identity, interval, modification, site_tables
 from ..sources import bed
 from . import simulate as S
 from .simulate import SQL
@@ -646,3 +646,13 @@ def site_contrasts(spark: SparkSession, d: str) -> DataFrame:
     specs = u.select(F.lit("m").alias("assay_id"), F.concat(F.lit("g"), "user_id").alias("gene"), F.concat(F.lit("chr1:"), F.col("user_id") * 1000 + 110, F.lit(":+")).alias("site_id"), F.lit("A+a").alias("mod_code"), a.alias("isoform_a"), each)
     out = site_tables.contrasts(_study(spark, d)["design"], specs.select("assay_id", "gene", "site_id", "mod_code", "isoform_a", "x.*"))
     return _round(out.select("contrast_type", "gene", "n_eligible_samples", "delta_fraction", "odds_ratio", "interaction_delta", "eligibility_reason"), "delta_fraction", "odds_ratio", "interaction_delta")
+
+
+@query("""SELECT name, CASE WHEN id % 50 = 0 THEN 2 ELSE 1 END AS records, CASE WHEN id % 50 = 0 THEN CASE WHEN id % 100 = 0 THEN 'tx_end' ELSE 'gene_id,tx_end' END ELSE '' END AS columns FROM cat""")
+def catalog_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Catalogs of parts put together: a third of all isoforms is in two of them, and every fiftieth differs there."""
+    c = S.catalog(spark, d).drop("n", "score")
+    other = F.col("id") % 50 == 0
+    again = c.where((F.col("id") % 3 == 0) | other).withColumn("tx_end", F.col("tx_end") + F.when(other, 1).otherwise(0)).withColumn("gene_id", F.when(other & (F.col("id") % 100 != 0), F.lit(None)).otherwise(F.col("gene_id")))
+    catalog, conflicts = identity.merge_catalogs(c.unionByName(again).drop("id"))
+    return catalog.select("name", F.lit(1).alias("records"), F.lit("").alias("columns")).unionByName(conflicts)

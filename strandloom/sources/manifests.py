@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import cigar_blocks, primary
+from ..operators.clustering import cut
 from . import bam, tables
 
 MODIFICATION = ["sample", "assay_id", "observations", "assay_metadata", "coverage_bam"]
@@ -124,22 +125,40 @@ def match_samples(tails: list[Row], samples: list[Row]) -> list[Row]:
     return [Row(sample=r.sample, group=groups[r.sample], caller=r.caller, input=r.input) for r in tails]
 
 
+def _caller_table(spark: SparkSession, path: str) -> DataFrame:
+    """readname, polya_length, qc_tag, by the names of a header in any case or by the standard ten columns."""
+    first = (spark.read.text(path).head() or [""])[0].split("\t")
+    names, wanted = [x.strip().lower() for x in first], ("readname", "polya_length", "qc_tag")
+    headed = set(wanted) <= set(names)
+    if headed and len(set(names)) < len(names):
+        raise ValueError(f"{path} names a column twice")
+    if not headed and (set(wanted) & set(names) or len(first) != 10):
+        raise ValueError(f"{path} has neither the columns {', '.join(wanted)} nor the standard ten columns")
+    at = [names.index(w) for w in wanted] if headed else [0, 8, 9]
+    t = spark.read.csv(path, sep="\t", header=headed, quote="", schema=", ".join(f"c{k} string" for k in range(len(first))))
+    return t.select(F.col(f"c{at[0]}").alias("readname"), F.trim(f"c{at[1]}").try_cast("double").alias("polya_length"), F.trim(f"c{at[2]}").alias("qc_tag"))
+
+
 def read_tails(spark: SparkSession, rows: list[Row]) -> DataFrame:
     """sample, read_id, status, length, raw (a tag), raw_length and qc_tag (a caller's row), one row a read.
 
-    Of the primary alignments of a read one with a tag wins, then the lesser tag, whatever the order of rows.
+    ``conflict``: primary alignments of one name have different tags, an error where the read is assigned.  A BAM file
+    without any tag is an error.  A caller's table may lack its header if it has the standard ten columns.
     """
     parts = []
     for r in rows:
         if r.caller == "dorado":
             a = bam.read(spark, r.input)
-            main = a.where(F.col("flag").bitwiseAND(F.lit(0x900)) == 0).groupBy(F.col("name").alias("read_id")).agg(F.min("pt").alias("pt"))
+            same = F.coalesce(F.min("pt") != F.max("pt"), F.lit(False)) | ((F.count("pt") > 0) & (F.count("pt") < F.count("*")))
+            main = cut(a.where(F.col("flag").bitwiseAND(F.lit(0x900)) == 0).groupBy(F.col("name").alias("read_id")).agg(F.min("pt").alias("pt"), same.alias("conflict")))
+            if main.limit(1).count() and not main.where("pt IS NOT NULL").limit(1).count():
+                raise ValueError(f"{r.input} has no pt tags on primary reads")
             status, length = tables.dorado_tails(F.col("pt"))
-            got = main.select("read_id", F.coalesce(status, F.lit("missing_pt_tag")).alias("status"), length.alias("length"), F.col("pt").alias("raw"), F.lit(None).cast("double").alias("raw_length"), F.lit(None).cast("string").alias("qc_tag"))
+            got = main.select("read_id", F.coalesce(status, F.lit("missing_pt_tag")).alias("status"), length.alias("length"), F.col("pt").alias("raw"), F.lit(None).cast("double").alias("raw_length"), F.lit(None).cast("string").alias("qc_tag"), "conflict")
         else:
-            t = spark.read.csv(r.input, sep="\t", header=True, quote="").select("readname", F.col("polya_length").cast("double").alias("polya_length"), "qc_tag")
+            t = _caller_table(spark, r.input)
             best = t.groupBy(F.col("readname").alias("read_id")).agg(F.min(F.struct((F.col("qc_tag") != "PASS").alias("no"), "polya_length", "qc_tag")).alias("b"))
             passed = ~F.col("b.no")
-            got = best.select("read_id", F.when(passed, "estimated").otherwise("qc_failed").alias("status"), F.when(passed, F.col("b.polya_length")).alias("length"), F.lit(None).cast("long").alias("raw"), F.col("b.polya_length").alias("raw_length"), F.col("b.qc_tag").alias("qc_tag"))
+            got = best.select("read_id", F.when(passed, "estimated").otherwise("qc_failed").alias("status"), F.when(passed, F.col("b.polya_length")).alias("length"), F.lit(None).cast("long").alias("raw"), F.col("b.polya_length").alias("raw_length"), F.col("b.qc_tag").alias("qc_tag"), F.lit(False).alias("conflict"))
         parts.append(got.withColumn("sample", F.lit(r.sample)).withColumn("read_id", tagged(r.sample, F.col("read_id"))))
     return reduce(DataFrame.unionByName, parts)

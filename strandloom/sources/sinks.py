@@ -9,12 +9,12 @@ from ..functions.geometry import total
 from ..functions.sequence import or_na, shortest_number
 
 
-def tsv(df: DataFrame, path: str, order: list[str]) -> None:
-    """A headed table with NA for NULL and whole numbers without a fraction, in the order of ``order``.
+def tsv(df: DataFrame, path: str, order: list[str], decimals: int | None = None) -> None:
+    """A headed table with NA for NULL, in the order of ``order``; doubles have ``decimals`` or the digits they need.
 
     The rows are range-partitioned by that order, so part files read one after another are sorted.
     """
-    cols = [or_na(shortest_number(F.col(c)) if t == "double" else F.col(c)).alias(c) for c, t in df.dtypes]
+    cols = [or_na(F.col(c) if t != "double" else shortest_number(F.col(c)) if decimals is None else F.when(F.col(c).isNotNull(), F.format_string(f"%.{decimals}f", F.col(c)))).alias(c) for c, t in df.dtypes]
     df.repartitionByRange(*order).sortWithinPartitions(*order).select(*cols).write.csv(path, sep="\t", header=True, quote="", mode="overwrite")
 
 

@@ -115,12 +115,12 @@ def test_tail_chain(spark, tmp_path):
     iso = {(r["sample"], r["isoform_id"]): r for r in _rows(tmp_path / "out/isoforms")}
     assert len(iso) == 4 and iso["S", "short"]["assigned_reads"] == "0" and iso["S", "short"]["polya_mean_nt"] == "NA"
     r = iso["S", "long"]
-    assert [r[k] for k in ("assigned_reads", "observed_reads", "polya_reads", "qc_failed_reads", "missing_nanopolish_reads", "polya_fraction")] == ["8", "7", "5", "2", "1", "0.625"]
+    assert [r[k] for k in ("assigned_reads", "observed_reads", "polya_reads", "qc_failed_reads", "missing_nanopolish_reads", "polya_fraction")] == ["8", "7", "5", "2", "1", "0.625000"]
     assert [round(float(r[f"polya_{k}_nt"]), 6) for k in ("mean", "median", "q25", "q75", "min", "max", "stddev")] == [33.388, 32.43, 29.16, 38.22, 27.48, 39.65, 5.391175]
     r = iso["D", "short"]
     assert [r[k] for k in ("assigned_reads", "polya_reads", "missing_bam_reads", "missing_pt_reads", "anchor_not_found_reads", "estimation_failed_reads", "polya_stddev_nt")] == ["5", "1", "1", "1", "1", "1", "NA"]
     qc = {r["sample"]: r for r in _rows(tmp_path / "out/qc")}
-    assert (qc["S"]["unassigned_reads"], qc["S"]["read_join_rate"], qc["D"]["group"], qc["S"]["group"]) == ("1", "0.875", "g", "NA")
+    assert (qc["S"]["unassigned_reads"], qc["S"]["read_join_rate"], qc["D"]["group"], qc["S"]["group"]) == ("1", "0.875000", "g", "NA")
     (tmp_path / "m.tsv").write_text("sample\tbam\tnanopolish\nD\td.bam\ttails.tsv\n")
     with pytest.raises(ValueError, match="exactly one"):
         manifests.tail_manifest(spark, f"{tmp_path}/m.tsv")

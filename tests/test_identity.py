@@ -64,3 +64,25 @@ def test_repairs_count_dropped_items(spark):
     assert (r.error, r.repairs) == (None, 1)
     good = bed.parse(spark.createDataFrame([(line.replace(",,", ","),)], "value string"), lenient=True).first()
     assert (good.error, good.repairs) == (None, 0)
+
+
+def test_catalogs_collapse_equal_records_and_name_conflicts(spark, tracks):
+    from strandloom.operators import identity
+
+    a = tracks(("x", "c", "+", [(0, 10)], "g", 0), ("y", "c", "+", [(0, 10)], None, 0), ("z", "c", "+", [(0, 10)], "g", 0)).drop("instance_id")
+    b = tracks(("x", "c", "+", [(0, 10)], "g", 0), ("y", "c", "+", [(0, 10)], None, 0), ("z", "c", "-", [(0, 12)], None, 0)).drop("instance_id")
+    catalog, conflicts = identity.merge_catalogs(a.unionByName(b).unionByName(a))
+    assert sorted(r.name for r in catalog.collect()) == ["x", "y"] and catalog.columns == a.columns
+    assert [tuple(r) for r in conflicts.collect()] == [("z", 2, "strand,tx_end,exons,gene_id")]
+    with pytest.raises(ValueError, match="'z' describes 2 conflicting records"):
+        identity.merged(a.unionByName(b))
+    assert identity.merged(a.unionByName(a)).count() == 3
+
+
+def test_faults_of_ids(spark, tracks):
+    from strandloom.functions import geometry as G
+    from strandloom.operators import identity
+
+    t = tracks(("", "c", "+", [(0, 10)], "g", 0), ("x", "c", "+", [(0, 10)], "g", 0), ("x", "c", "+", [(0, 11)], "g", 0), (G.NOVEL + "q", "c", "+", [(0, 10)], "g", 0), ("ok", "c", "+", [(0, 10)], "g", 0))
+    assert {(r.name, r.fault, r.n) for r in identity.id_faults(t, True).collect()} == {("", "empty", 1), ("x", "duplicate", 2), (G.NOVEL + "q", "reserved", 1)}
+    assert {r.fault for r in identity.id_faults(t).collect()} == {"empty", "duplicate"}
