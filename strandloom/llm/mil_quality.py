@@ -8,10 +8,10 @@ scored by a logistic layer:
     h = tanh(W x + b);  a = softmax(w . (tanh(V h) * sigmoid(U h)));  score = sigmoid(c . sum(a h) + d)
 
 Labels are learned only from rows with crc32(doc_id as text) mod 3 <> 1.  The fit takes a bounded
-sample, the same at every size: the ``SAMPLE`` labels of least hash, one document each, and of a
-document's passages ``BAG`` at most, spread evenly from its start to its end.  These reach
-the driver, where the few thousand weights are fitted; scoring reads every passage of every whole text
-in one narrow stage.
+sample of rows, the same at every size: the ``SAMPLE`` labels of least hash, one document each, until their texts
+reach ``SAMPLE_BYTES`` together, each with all its passages.  Their measures (some half of the texts' size) reach the
+driver, where the few thousand weights are fitted; scoring reads every passage of every whole text in one narrow
+stage and holds the measures of ``SCORED_BYTES`` of text at a time.
 
 Defined results: null and empty texts are one empty passage and get a score like all others; without
 labels of both kinds the score is the known share of label 1 (0.5 without any).  Labels that are null or whose
@@ -27,14 +27,15 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import with_id
 
 PASSAGE = 100
 SAMPLE = 4000
-BAG = 64
+SAMPLE_BYTES = 128 << 20  # of the texts of the fitted sample together
+SCORED_BYTES = 8 << 20  # of texts whose measures are held at once
 BINS = 64
 HIDDEN = 24
 ATTENTION = 12
@@ -162,24 +163,39 @@ def _held_out(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, bag: int = BAG, attend: bool = True) -> AttentionModel:
-    """Fit on at most ``sample`` labelled documents outside the held-out third, ``bag`` passages each."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, attend: bool = True) -> AttentionModel:
+    """Fit on all passages of at most ``sample`` labelled documents outside the held-out third.
+
+    The sample is dealt by a hash of the id and ends where its texts reach ``sample_bytes`` together; a text longer than
+    that by itself is never sampled.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label")).where(~_held_out())
     few = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("t")).join(F.broadcast(few), "doc_id")  # few: bounded by sample
+    sized = docs.select("doc_id", F.octet_length(text).cast("long").alias("size")).join(F.broadcast(few), "doc_id")  # few: bounded by sample
+    sized = sized.groupBy("doc_id").agg(F.max("size").alias("size")).where(F.col("size") <= sample_bytes)
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most sample rows, of two numbers each
+    chosen = few.join(sized.withColumn("upto", upto).where(F.col("upto") <= sample_bytes).select("doc_id"), "doc_id")
+    rows = docs.select("doc_id", text.alias("t")).join(F.broadcast(chosen), "doc_id")
     rows = rows.groupBy("doc_id", "label").agg(F.min_by("t", F.xxhash64("t")).alias("t"))  # at most sample rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            bags = [passages(t) for t in b["t"]]
-            some = [x[np.unique(np.linspace(0, len(x) - 1, bag).astype(int))] for x in bags]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype(str), "label": b["label"], "x": [x.tobytes() for x in some]})
+            for part in slices(b, SCORED_BYTES):
+                yield pd.DataFrame({"doc_id": part["doc_id"].astype(str), "label": part["label"], "x": [passages(t).tobytes() for t in part["t"]]})
 
     got = rows.mapInPandas(run, "doc_id string, label int, x binary").toLocalIterator()
-    got = sorted(got, key=lambda r: r["doc_id"])
-    bags = [np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, WIDTH) for r in got]
-    return AttentionModel(attend=attend).fit(bags, np.array([r["label"] for r in got], float))
+    got = sorted(((r["doc_id"], r["label"], np.frombuffer(bytes(r["x"]), np.float32).reshape(-1, WIDTH)) for r in got), key=lambda r: r[0])
+    return AttentionModel(attend=attend).fit([x for *_, x in got], np.array([y for _, y, _ in got], float))
+
+
+def slices(b: pd.DataFrame, size: int) -> Iterator[pd.DataFrame]:
+    """``b`` in parts of about ``size`` characters of text, a row at least."""
+    of = (b["t"].str.len().cumsum() // size).to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(b)]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        if low < high:
+            yield b.iloc[low:high]
 
 
 def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
@@ -187,10 +203,11 @@ def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            bags = [passages(t) for t in b["t"]]
-            y, top = known.value.score(bags)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": y, "predicted": (y >= 0.5).astype(int), "n_passages": [len(x) for x in bags], "top_weight": top})
+        for whole in batches:
+            for b in slices(whole, SCORED_BYTES):
+                bags = [passages(t) for t in b["t"]]
+                y, top = known.value.score(bags)
+                yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": y, "predicted": (y >= 0.5).astype(int), "n_passages": [len(x) for x in bags], "top_weight": top})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(_held_out(), F.lit(False)).alias("held_out"), F.coalesce(F.col("text"), F.lit("")).alias("t"))

@@ -150,8 +150,29 @@ def test_sample_is_one_row_a_document_and_bounded(spark):
     rows = [(i, "word " * 20_000 if i == 2 else f"text {i} " * 40) for i in range(60)] * 2
     d = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 0), (3, 1)], "doc_id long, quality int")
-    m = mil_quality.train(d, labels, sample=20, bag=5)
+    m = mil_quality.train(d, labels, sample=20)
     assert m.constant is None and m.p["W"].shape[0] == mil_quality.WIDTH
+    # Fewer bytes, fewer rows; none fits into a byte.
+    assert mil_quality.train(d, labels, sample=60, sample_bytes=5000).constant is None and mil_quality.train(d, labels, sample_bytes=1).constant == 0.5
+
+
+def test_a_telling_passage_far_into_long_texts(spark):
+    r = random.Random(11)
+    plain = lambda n: " ".join(r.choice(["stone", "river", "old", "house", "light", "path"]) for _ in range(n))
+    odd = lambda n: " ".join(r.choice(["##", "%$", "|&|", "@"]) for _ in range(n))
+    rows = [(i, plain(7000 + 100 * r.randint(0, 20)) + " " + (odd(100) if i % 2 else plain(100)) + " " + plain(1500)) for i in range(150)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, quality int")
+    got = mil_quality.score(d, mil_quality.train(d, labels)).where("held_out").collect()
+    assert len(got) > 30 and sum(x.predicted == x.doc_id % 2 for x in got) / len(got) > 0.9 and min(x.n_passages for x in got) > 80
+
+
+def test_batches_are_scored_in_parts_of_bounded_size():
+    import pandas as pd
+
+    b = pd.DataFrame({"t": ["x" * n for n in (5, 5, 40, 1, 1, 0, 12, 3)]})
+    parts = list(mil_quality.slices(b, 12))
+    assert pd.concat(parts).equals(b) and len(parts) > 2 and all(x["t"].str.len().sum() - x["t"].str.len().max() <= 12 for x in parts) and not list(mil_quality.slices(b.iloc[:0], 12))
 
 
 # Suffixes, components, copies
