@@ -87,3 +87,11 @@ def test_loci_over_many_bins(spark):
     for size in (16, 500, 1 << 17):
         got = I.loci(d, ["chrom"], size)
         assert {tuple(x) for x in got.select("chrom", "tx_start", "tx_end", "locus_start").collect()} == want and got.count() == len(rows) * 2
+
+
+def test_bins_follow_the_spans_and_a_left_join_keeps_every_row(spark):
+    a = spark.createDataFrame([(0, "c", 5, 905), (1, "c", 9000, 9100), (2, "d", 5, 9), (3, "c", 7, 7)], "i int, c string, a_start long, a_end long")
+    b = spark.createDataFrame([(k, "c", 100 * k, 100 * k + 100) for k in range(9)], "j int, c string, b_start long, b_end long")
+    assert I.bin_size(b) == 512
+    out = {(r.i, r.j) for r in I.overlap_join(a, b, ["c"], 128, how="left").collect()}
+    assert out - {(0, None)} == {(0, k) for k in range(9)} | {(1, None), (2, None), (3, None)}
