@@ -43,3 +43,21 @@ def test_assay_metadata(spark):
     for bad in (good.replace("1,", "2,"), good.replace('"caller"', '"colour"')):
         with pytest.raises(Exception, match="another version"):
             T.assay_metadata(rows(bad)).collect()
+
+
+def test_crowded_lists_give_the_nearest_reference_without_a_product(spark):
+    import random
+
+    from strandloom.operators.description import FEW, _by_ends
+
+    r = random.Random(3)
+    span = lambda: (lambda s: (s, s + r.choice((40, 100, 900))))(r.choice((r.randint(0, 4000), 700)))
+    refs = [(f"r{k}", b, *span()) for b, n in (("x", 10 * FEW), ("y", 3)) for k in range(n)]
+    reads = [(f"q{k}", "g", a, *span()) for k in range(60) for a in ("A", "B")]
+    lists = [("A", "x"), ("A", "y"), ("B", "y")]
+    own = spark.createDataFrame(reads, "isoform_id string, gene string, a_id string, a_start long, a_end long")
+    known = spark.createDataFrame(refs, "ref_id string, b_id string, b_start long, b_end long")
+    best = spark.createDataFrame(lists, "a_id string, b_id string")
+    got = {(x.isoform_id, x.a_id): (x.n.ends, x.n.ref_id, x.n.b_id) for x in _by_ends(own, known, best).collect()}
+    want = {(q, a): min((abs(s - t) + abs(e - f), k, b) for k, b, t, f in refs if (a, b) in lists) for q, _, a, s, e in reads}
+    assert got == want
