@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,7 +149,11 @@ def project(start: int, cigar: str, size: int, places: np.ndarray) -> tuple[np.n
 READ = "path string, name string, kind string, reason string, chrom string, reverse boolean, " + ", ".join(f"{c} long" for c in COUNTS) + ", calls array<struct<pos0:long,state:int,ml:int>>"
 
 
-def _read(r, sample: str, target: Target) -> tuple[dict[str, int], list[tuple[int, int, int]]]:
+# A batch of rows is parsed so many records at a time, and rows go out once they hold so many calls.
+RECORDS, CALLS = 256, 1 << 18
+
+
+def _read(r, sample: str, target: Target) -> tuple[dict[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]]:
     if r.chrom is None or not r.chrom.strip() or r.chrom == "*":
         raise Fault("InvalidReference")
     if r.start < 0:
@@ -169,36 +174,62 @@ def _read(r, sample: str, target: Target) -> tuple[dict[str, int], list[tuple[in
     for what, of in (("target", explicit), ("implicit", ~explicit)):
         n[f"{what}_calls_in_insertions"], n[f"{what}_calls_in_soft_clips"] = int((of & (op == "I")).sum()), int((of & (op == "S")).sum())
     on = op == "M"
-    return n, list(zip(pos[on].tolist(), states[on].tolist(), values[on].tolist()))
+    return n, (pos[on], states[on].astype(np.int32), values[on].astype(np.int32))
+
+
+NONE = (np.array([], np.int64), np.array([], np.int32), np.array([], np.int32))
+
+
+def _packed(rows: list[tuple], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of ``READ``; calls stay numbers of 16 bytes and never become Python objects."""
+    names = [c.split()[0] for c in READ.split(", ")][:-1]
+    columns = [pa.array(c, pa.int64() if k in COUNTS else pa.bool_() if k == "reverse" else pa.string()) for k, c in zip(names, zip(*rows))]
+    pos, state, ml = (np.concatenate(x) for x in zip(*found))
+    each = pa.StructArray.from_arrays([pa.array(pos, pa.int64()), pa.array(state, pa.int32()), pa.array(ml, pa.int32())], names=["pos0", "state", "ml"])
+    ends = np.cumsum([0, *[len(f[0]) for f in found]])
+    return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)], names=[*names, "calls"])
 
 
 def reads(rows: DataFrame, sample: str, target: Target, least_mapq: int = 0) -> DataFrame:
-    """One row of ``READ`` for each record of :func:`bam.read`; ``reason`` says why a primary one cannot be used."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in READ.split(", ")]
-        for b in batches:
-            out = []
-            for r in b.itertuples():
-                kind = next((k for bit, k in ((0x4, "unmapped"), (0x100, "secondary"), (0x800, "supplementary")) if r.flag & bit), "primary")
-                reason, n, found = None, dict.fromkeys(COUNTS, 0), []
-                if kind == "primary":
-                    if not r.name.strip() or r.name == "*":
-                        kind, reason = "unnamed", "MissingReadName"
-                    elif any(ord(c) < 32 or 127 <= ord(c) < 160 for c in r.name):
-                        kind, reason = "unnamed", "InvalidReadName"
-                    elif (0 if r.mapq == 255 else r.mapq) < least_mapq:
-                        kind = "below_mapq"
-                    else:
-                        try:
-                            n, found = _read(r, sample, target)
-                        except Fault as f:
-                            reason, n, found = f.args[0], dict.fromkeys(COUNTS, 0), []
-                out.append((r.path, r.name, kind, reason, r.chrom, bool(r.flag & 0x10), *n.values(), found))
-            yield pd.DataFrame(out, columns=names)
+    """One row of ``READ`` for each record of :func:`bam.read`; ``reason`` says why a primary one cannot be used.
+
+    What a task holds is bounded by ``RECORDS`` and ``CALLS``, beside the batch that Spark hands it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, found, held = [], [], 0
+            for low in range(0, batch.num_rows, RECORDS):
+                for r in batch.slice(low, RECORDS).to_pandas().itertuples():
+                    row, of = parsed(r)
+                    out.append(row)
+                    found.append(of)
+                    held += len(of[0])
+                    if held >= CALLS:
+                        yield _packed(out, found)
+                        out, found, held = [], [], 0
+            if out:
+                yield _packed(out, found)
+
+    def parsed(r) -> tuple[tuple, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        kind = next((k for bit, k in ((0x4, "unmapped"), (0x100, "secondary"), (0x800, "supplementary")) if r.flag & bit), "primary")
+        reason, n, found = None, dict.fromkeys(COUNTS, 0), NONE
+        if kind == "primary":
+            if not r.name.strip() or r.name == "*":
+                kind, reason = "unnamed", "MissingReadName"
+            elif any(ord(c) < 32 or 127 <= ord(c) < 160 for c in r.name):
+                kind, reason = "unnamed", "InvalidReadName"
+            elif (0 if r.mapq == 255 else r.mapq) < least_mapq:
+                kind = "below_mapq"
+            else:
+                try:
+                    n, found = _read(r, sample, target)
+                except Fault as f:
+                    reason, n, found = f.args[0], dict.fromkeys(COUNTS, 0), NONE
+        return (r.path, r.name, kind, reason, r.chrom, bool(r.flag & 0x10), *n.values()), found
 
     cols = ["path", "name", "flag", "mapq", "chrom", "chrom_length", "start", "cigar", "seq", "mm", "ml", "mn", "tag_fault"]
-    return rows.select(*cols).mapInPandas(run, READ)
+    return rows.select(*cols).mapInArrow(run, READ)
 
 
 @dataclass(frozen=True)

@@ -204,3 +204,33 @@ def test_command_writes_what_the_aggregate_reads(spark, tmp_path):
     (tmp_path / "m.tsv").write_text(manifest)
     calls, inputs, _ = manifests.read_modifications(spark, manifests.modification_manifest(spark, str(tmp_path / "m.tsv")), {"m": 0.5}, {})
     assert calls.count() == obs.count() and json.loads(modbam.assay_json(assay.asDict()))["assay_id"] == "m" and inputs.first().implicit_skip_policy in ("unknown", "low_probability")
+
+
+def test_rows_go_out_by_their_calls(spark, monkeypatch):
+    """Calls of a batch are bounded: before, one frame held those of all its records."""
+    import pyarrow as pa
+
+    from strandloom.sources import modbam
+
+    seen = {}
+
+    class Rows:
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, schema):
+            seen["run"] = run
+            return self
+
+    n, k = 40, 50
+    monkeypatch.setattr(modbam, "CALLS", 500)
+    monkeypatch.setattr(modbam, "RECORDS", 7)
+    modbam.reads(Rows(), "S", Target("A+a"))
+    row = {"path": "x", "flag": 0, "mapq": 60, "chrom": "c", "chrom_length": 1000, "start": 5, "cigar": f"{k}M", "seq": "A" * k, "mm": "A+a,0;", "ml": b"\x07", "mn": k, "tag_fault": None}
+    batch = pa.RecordBatch.from_pylist([row | {"name": f"r{i}"} for i in range(n)], schema=pa.schema([*[(c, pa.string()) for c in ("path", "name", "chrom", "cigar", "seq", "mm", "tag_fault")], ("ml", pa.binary()), *[(c, pa.int64()) for c in ("flag", "mapq", "chrom_length", "start", "mn")]]))
+    out = list(seen["run"](iter([batch])))
+    assert [b.num_rows for b in out] == [10, 10, 10, 10]
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["name"] for r in rows] == [f"r{i}" for i in range(n)]
+    want = [{"pos0": 5, "state": 0, "ml": 7}] + [{"pos0": 5 + i, "state": 1, "ml": 0} for i in range(1, k)]
+    assert all(r["calls"] == want and r["reason"] is None for r in rows)
