@@ -61,3 +61,15 @@ def test_crowded_lists_give_the_nearest_reference_without_a_product(spark):
     got = {(x.isoform_id, x.a_id): (x.n.ends, x.n.ref_id, x.n.b_id) for x in _by_ends(own, known, best).collect()}
     want = {(q, a): min((abs(s - t) + abs(e - f), k, b) for k, b, t, f in refs if (a, b) in lists) for q, _, a, s, e in reads}
     assert got == want
+
+
+def test_rows_pass_once_to_the_nearest_of_few_references(tracks):
+    """Isoforms of a few references meet them in one join: no shuffle of rows behind it, and none by isoform."""
+    refs = tracks(*[(f"ref{k}", "c", "+", [(k, 100), *REF[1:]], "G", 0) for k in range(3)], ("one", "c", "+", [(0, 90)], "G", 0), ("two", "c", "+", [(40, 95)], "G", 0))
+    iso = tracks(("x", "c", "+", [(2, 100), *REF[1:]], "G", 0), ("y", "c", "+", [(30, 95)], "G", 0))
+    rows = D.nearest_reference(iso, refs)
+    assert {r.isoform_id: (r.ref_id, r.ends, r.whole.ref_id) for r in rows.collect()} == {"x": ("ref2", 0, "ref0"), "y": ("two", 10, "one")}
+    near = D._beside(*(rows.sparkSession.createDataFrame(*x) for x in (
+        ([("x", "G", "A", 2, 700)], "isoform_id string, gene string, a_id string, a_start long, a_end long"), ([("r", "B", 0, 700)], "ref_id string, b_id string, b_start long, b_end long"),
+        ([("A", "B", [], [], [], [], [], False, None, [])], "a_id string, b_id string, missed array<int>, extra array<int>, miss_runs array<int>, extra_runs array<int>, b_sites array<long>, novel boolean, whole string, a_sites array<long>"), ([("A", "B")], "a_id string, b_id string"))))
+    assert [(r.ref_id, r.ends) for r in near.collect()] == [("r", 2)]
